@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from folioforge.llm import bpe, decontaminate
+from folioforge.llm import bpe, decontaminate, simhash
 
 QUERIES = {
     "op2_decontamination": decontaminate.digest,
     "op7_bpe": bpe.digest,
+    "op8_simhash": simhash.digest,
 }
 
 ORACLES: dict[str, str] = {}

@@ -27,7 +27,8 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-SPREAD = 16
+#: Tasks that a block of hosts is dealt out over, each with the block's rules.
+SPREAD = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from folioforge.llm import bpe, decontaminate, quality, secrets, sharding, simhash, urlfilter
+from folioforge.llm import bpe, decontaminate, html, lines, quality, secrets, sharding, simhash, urlfilter
 
 QUERIES = {
     "op1_secrets": secrets.digest,
     "op2_decontamination": decontaminate.digest,
     "op3_quality": quality.digest,
     "op4_urls": urlfilter.digest,
+    "op5_html": html.digest,
     "op6_sharding": sharding.digest,
     "op7_bpe": bpe.digest,
     "op8_simhash": simhash.digest,
+    "op10_lines": lines.digest,
 }
 
 ORACLES = {
     "op1_secrets": secrets.SQL,
     "op3_quality": quality.SQL,
     "op4_urls": urlfilter.SQL,
+    "op10_lines": lines.SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.llm import bpe, decontaminate, html, lines, quality, secrets, sharding, simhash, urlfilter
+from folioforge.llm import bpe, decontaminate, html, lines, passages, quality, secrets, sharding, simhash, urlfilter
 
 QUERIES = {
     "op1_secrets": secrets.digest,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_sharding": sharding.digest,
     "op7_bpe": bpe.digest,
     "op8_simhash": simhash.digest,
+    "op9_passages": passages.digest,
     "op10_lines": lines.digest,
 }
 

@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from folioforge.llm import bpe, decontaminate, html, lines, passages, quality, secrets, sharding, simhash, urlfilter
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_secrets": secrets.digest,
     "op2_decontamination": decontaminate.digest,
@@ -15,6 +24,7 @@ QUERIES = {
     "op8_simhash": simhash.digest,
     "op9_passages": passages.digest,
     "op10_lines": lines.digest,
+    "pipeline": pipeline,
 }
 
 ORACLES = {

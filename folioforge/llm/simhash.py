@@ -155,6 +155,13 @@ def stars(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(roots), np.concatenate(reached)
 
 
+def rooted(fingerprints: DataFrame, max_bits: int = MAX_BITS, groups: int = GROUPS, **leaves: int) -> DataFrame:
+    """(fp, least, root) for every distinct fingerprint of rows (doc_id, fp): its least id, and one fingerprint that stands for its component."""
+    distinct = fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    found = components(links(distinct, "fp", max_bits, groups, **leaves))
+    return distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", F.col("fp")).alias("root"))
+
+
 def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int = GROUPS, **leaves: int) -> DataFrame:
     """(doc_id, fp, component_id), one row for each document.
 
@@ -164,15 +171,27 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     no rows; other columns are not returned.
     """
     rows = materialize(documents.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(distinct, "fp", max_bits, groups, **leaves))
-    root = F.coalesce("root", F.col("fp"))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", root.alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.join(least, "root").select("fp", "component_id")
+    nodes = rooted(rows, max_bits, groups, **leaves)
+    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_fp = nodes.join(least, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int = GROUPS, **leaves: int) -> DataFrame:
+    """One document of each component, with the columns of `documents`.
+
+    It is the one with the least doc_id, null ids last; of rows that share this id the one with the least hash of its
+    text, and of equal rows any one.
+    """
+    row = documents.withColumns({own("mark"): F.xxhash64(F.lit(1), text), own("unknown"): F.col(doc_id).isNull()})
+    rows = materialize(row.select(F.col(own("unknown")).alias("unknown"), F.col(doc_id).alias("doc_id"), F.col(own("mark")).alias("mark"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
+    best = rows.groupBy("fp").agg(F.min(F.struct("unknown", "doc_id", "mark")).alias("best"))
+    nodes = rooted(rows, max_bits, groups, **leaves)
+    kept = nodes.join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias(own("id")), F.col("best.mark").alias(own("kept")))
+    found = row.join(kept, (F.col(own("mark")) == F.col(own("kept"))) & F.col(doc_id).eqNullSafe(F.col(own("id"))))
+    return found.dropDuplicates([own("kept"), own("id")]).select(*documents.columns)
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 

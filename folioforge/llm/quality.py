@@ -6,7 +6,8 @@ by the Jensen-Shannon distance (base 2, so between 0 and 1). Short texts differ
 length is judged, and the limit for words falls with the square root of the length.
 
 Everything about a document is computed inside its row, so texts are never shuffled; the references are sums of a few
-counters for each listed language.
+counters for each listed language. A three-word window is compared by a hash of 63 bits less those that its position
+needs, 53 for a text of a thousand words.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import own, table
+from folioforge.llm.common import materialize, own, table
 
 #: The most common words of each language.
 COMMON = {
@@ -40,19 +41,27 @@ def _rest(text: Column, pattern: str) -> Column:
     return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside three-word windows that occur twice or more: windows are sorted by hash, so equal ones are neighbours."""
-    n = F.size(words)
-    windows = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
+def _mask(words: Column) -> Column:
+    """All bits but the low ones that a position in the text needs."""
+    return F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.length(F.bin(F.size(words).cast("bigint"))).cast("int"))
 
-    def starts(s: Column) -> Column:
-        same = lambda x, j: F.coalesce(F.get(s, j - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, j + 1)["h"] == x["h"], F.lit(False))
-        return F.array_compact(F.transform(s, lambda x, j: F.when(same(x, j), x["i"])))
 
-    # An array of one is a way to name the sorted windows, which the lambda looks into from every position.
-    at = F.array_sort(F.get(F.transform(F.array(F.array_sort(windows)), starts), F.lit(0)))
-    none = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
-    return F.aggregate(at, none, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"]).cast("long")
+def sorted_windows(words: Column, mask: Column) -> Column:
+    """Every three-word window as one number, its hash above its position, in order: equal windows are neighbours."""
+    starts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+    return F.sort_array(F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(mask).bitwiseOR(i.cast("bigint"))))
+
+
+def repeated_words(windows: Column, mask: Column) -> Column:
+    """Words inside the three-word windows that occur twice or more, from sorted_windows."""
+
+    def both(x: Column, j: Column) -> Column:
+        after = F.get(windows, j + 1)
+        return F.when(x.bitwiseXOR(after).bitwiseAND(mask) == 0, F.array(x.bitwiseAND(F.bitwise_not(mask)), after.bitwiseAND(F.bitwise_not(mask))))
+
+    at = F.array_sort(F.array_distinct(F.flatten(F.array_compact(F.transform(windows, both)))))
+    none = F.struct(F.lit(-3).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n"))
+    return F.aggregate(at, none, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3).cast("bigint"), p - a["last"])).alias("n")), lambda a: a["n"])
 
 
 def _class_counts(text: Column) -> Column:
@@ -79,17 +88,31 @@ def _word_counts(text: Column, common: Column) -> Column:
     return F.get(F.transform(pair, counts), F.lit(0))
 
 
-def histograms(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """`documents` with own columns for the class and word counts; word counts are null for languages not listed."""
+def measures(documents: DataFrame, text: str = "text", lang: str = "lang", base: bool = True) -> DataFrame:
+    """`documents` with the base counts and own columns for the class and word counts; word counts are null for languages not listed."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return documents.withColumns({own("classes"): _class_counts(t), own("common"): _common_of(F.col(lang))}).withColumn(own("tokens"), F.when(F.col(own("common")).isNotNull(), _word_counts(t, F.col(own("common")))))
+    out = documents.withColumns({own("classes"): _class_counts(t), own("common"): _common_of(F.col(lang))}).withColumn(own("tokens"), F.when(F.col(own("common")).isNotNull(), _word_counts(t, F.col(own("common")))))
+    if not base:
+        return out.drop(own("common"))
+    words, mask = F.col(own("words")), F.col(own("mask"))
+    out = out.withColumns({own("words"): words_of(t), own("lines"): F.filter(F.split(t, "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))})
+    out = out.withColumn(own("mask"), _mask(words)).withColumn(own("windows"), sorted_windows(words, mask))
+    return out.withColumns(
+        {
+            "n_words": F.size(words).cast("long"),
+            "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
+            "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
+            "n_dup_lines": (F.size(own("lines")) - F.size(F.array_distinct(own("lines")))).cast("long"),
+            "n_repeat_words": F.when(F.size(own("windows")) > 1, repeated_words(F.col(own("windows")), mask)).otherwise(F.lit(0).cast("long")),
+        }
+    ).drop(*[own(c) for c in ("common", "words", "lines", "mask", "windows")])
 
 
-def references(documents: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
+def references(measured: DataFrame, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
     """For each listed language that occurs, the class and word counts of all its documents: a row of 19 sums each."""
     classes, tokens = own("classes"), own("tokens")
     sums = [F.sum(F.col(classes)[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col(tokens)[i]).alias(f"t{i}") for i in range(13)]
-    rows = histograms(documents.where(F.col(lang).isin(*COMMON)).select(text, lang), text, lang).groupBy(lang).agg(*sums).collect()
+    rows = measured.where(F.col(lang).isin(*COMMON)).groupBy(lang).agg(*sums).collect()
     return {r[lang]: ([r[f"c{i}"] for i in range(len(CLASSES))], [r[f"t{i}"] for i in range(13)]) for r in rows}
 
 
@@ -114,39 +137,44 @@ def _literal(of_lang: dict[str, list[float]], lang: Column) -> Column:
     return out
 
 
-def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """`documents` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed and kept.
-
-    A null text is empty: it has no words and fails the base rules. A text of a language that isn't listed (or null) has
-    no reference, so both distances are null and the base rules alone decide; so they do for texts under LEAST_WORDS
-    words, which the base rules reject. Repeated rows are judged one by one, and count in the references as often. An
-    empty table gives no rows. The caller's columns stay, but for those nine names.
-    """
-    known = references(documents, text, lang)
-    t, code = F.coalesce(F.col(text), F.lit("")), F.col(lang)
-    words = F.col(own("words"))
-    out = histograms(documents, text, lang).withColumns({own("words"): words_of(t), own("lines"): F.filter(F.split(t, "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))})
-    out = out.withColumns(
+def verdicts(measured: DataFrame, known: dict[str, tuple[list[float], list[float]]], lang: str = "lang") -> DataFrame:
+    """class_distance, word_distance, base_failed and kept from the measures and the references."""
+    code, n = F.col(lang), F.col("n_words")
+    out = measured.withColumns(
         {
-            "n_words": F.size(words).cast("long"),
-            "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
-            "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
-            "n_dup_lines": (F.size(own("lines")) - F.size(F.array_distinct(own("lines")))).cast("long"),
-            "n_repeat_words": repeated_words(words),
             "class_distance": divergence(F.col(own("classes")), _literal({k: v[0] for k, v in known.items()}, code)),
             "word_distance": divergence(F.col(own("tokens")), _literal({k: v[1] for k, v in known.items()}, code)),
         }
     )
-    n = F.col("n_words")
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     strange = (n >= LEAST_WORDS) & ((F.col("class_distance") > MOST_CLASSES) | (F.col("word_distance") > MOST_WORDS + LENGTH_SHARE / F.sqrt(n)))
-    out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False)))
-    return out.drop(*[own(c) for c in ("classes", "common", "tokens", "words", "lines")])
+    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))).drop(own("classes"), own("tokens"))
+
+
+def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """`documents` without the text, and with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed and kept.
+
+    A null text is empty: it has no words and fails the base rules. A text of a language that isn't listed (or null) has
+    no reference, so both distances are null and the base rules alone decide; so they do for texts under LEAST_WORDS
+    words, which the base rules reject. Repeated rows are judged one by one, and count in the references as often. An
+    empty table gives no rows. The caller's columns stay, but for those nine names. The measures are written to the
+    shared folder once, and both the references and the verdicts come from there.
+    """
+    named = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept")
+    measured = materialize(measures(documents.drop(*[c for c in named if c not in (text, lang)]), text, lang).drop(text), "measures")
+    return verdicts(measured, references(measured, lang), lang)
 
 
 def clean(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents that the rules keep, with their columns."""
-    return judge(documents, text, lang).where("kept").select(*documents.columns)
+    """The documents that the rules keep, with their columns.
+
+    The texts don't go through the shared folder: the references come from one pass, the verdicts from a second one. The
+    verdict is computed under a generator, so that the filter on it stays above and nothing is computed again for it.
+    """
+    known = references(measures(documents.select(text, lang), text, lang, base=False), lang)
+    row = documents.select(F.struct(*documents.columns).alias(own("row")), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    judged = verdicts(measures(row), known).select(own("row"), F.explode(F.array("kept")).alias(own("kept")))
+    return judged.where(own("kept")).select(f"{own('row')}.*")
 
 
 def digest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import service
+from folioforge.plans import corpus, service
 
-MODULES = [service]
+MODULES = [service, corpus]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

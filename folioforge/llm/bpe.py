@@ -14,6 +14,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import own, table
 
 #: Stretches of text that a Python worker remembers; beyond that it forgets the later half, so its memory stays bounded.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+#: Words that one pair occurrence index covers.
+PARTITION = 16_384
 #: A longer stretch is encoded but not remembered.
 LONG = 64
 
@@ -171,7 +174,10 @@ class Codec:
         v = self.vocabulary
         found = [[s] if s in v.special else v.words.findall(s) for s in stretches]
         words = list({w: None for some in found for w in some if w not in v.special})
-        ids_of = dict(zip(words, encode_words(words, v))) | {t: [i] for t, i in v.special.items()}
+        ids_of = {t: [i] for t, i in v.special.items()}
+        for i in range(0, len(words), PARTITION):
+            some = words[i : i + PARTITION]
+            ids_of.update(zip(some, encode_words(some, v)))
         token = v.token_of.__getitem__
         for s, some in zip(stretches, found):
             ids = ids_of[some[0]] if len(some) == 1 else [i for w in some for i in ids_of[w]]
@@ -180,7 +186,15 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         packed_out, written_out = [], []
+        for packed, written in self.portions(texts):
+            packed_out += packed
+            written_out += written
+        return packed_out, written_out
+
+    def portions(self, texts: list[str]) -> Iterator[tuple[list[bytes], list[str]]]:
+        """The packed ids and decoded forms of the texts in order, a few million characters at a time."""
         for some in _portions(texts):
+            packed_out, written_out = [], []
             split = [self.vocabulary.stretches(t) for t in some]
             packed, written = self.packed, self.written
             new = set().union(*split) - packed.keys()
@@ -194,12 +208,12 @@ class Codec:
                 del packed[s], written[s]
             if len(packed) > REMEMBERED:  # what came first is what is frequent
                 for d in (packed, written):
-                    for s in list(d)[REMEMBERED // 2 :]:
+                    for s in list(islice(d, REMEMBERED // 2, None)):
                         del d[s]
-        return packed_out, written_out
+            yield packed_out, written_out
 
 
-def _portions(texts: list[str], characters: int = 4_000_000) -> Iterator[list[str]]:
+def _portions(texts: list[str], characters: int = 2_000_000) -> Iterator[list[str]]:
     """The texts in order, in lists of a few million characters."""
     some, size = [], 0
     for t in texts:
@@ -230,8 +244,8 @@ def encoder(path: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(path)
         for texts in batches:
-            ids, decoded = codec.encode([t or "" for t in texts.to_pylist()])
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["ids", "decoded"])
+            for ids, decoded in codec.portions([t or "" for t in texts.to_pylist()]):
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["ids", "decoded"])
 
     encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(encode, _ENCODED)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import corpus, service
+from folioforge.plans import books, corpus, service
 
-MODULES = [service, corpus]
+MODULES = [service, corpus, books]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

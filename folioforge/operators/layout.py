@@ -32,9 +32,10 @@ class _Row:
         apart = abs((word["top"] + word["bottom"]) - (self.top + self.bottom)) / 2
         if apart <= CENTRE * max(height, mine) and max(height, mine) <= RATIO * max(1e-9, min(height, mine)):
             return True
-        # A raised or lowered small word beside the line.
+        # A raised or lowered small word beside the line, whichever of the two comes first from the top.
         beside = min(min(abs(word["x0"] - w["x1"]), abs(w["x0"] - word["x1"])) for w in self.words[-2:] + self.words[:1])
-        return height < mine and self.top - INSIDE * mine <= word["top"] and word["bottom"] <= self.bottom + INSIDE * mine and beside <= REACH * mine
+        (top, bottom, small), (head, foot, large) = sorted([(word["top"], word["bottom"], height), (self.top, self.bottom, mine)], key=lambda x: x[2])
+        return small < large and head - INSIDE * large <= top and bottom <= foot + INSIDE * large and beside <= REACH * large
 
     def add(self, word: dict) -> None:
         self.words.append(word)

@@ -53,7 +53,7 @@ def upsert(existing: DataFrame, items: DataFrame, keys: Sequence[str] = ("source
     if checked and not duplicate_keys(items, keys).isEmpty():
         raise Rejected("two items of a batch have the same external id")
     named = items.where(F.col(keys[-1]).isNotNull() & (F.col(keys[-1]) != ""))
-    old = existing.select(*keys, *[F.col(c).alias(f"_{c}") for c in kept])
+    old = existing.where(F.col(keys[-1]) != "").select(*keys, *[F.col(c).alias(f"_{c}") for c in kept])
     fresh = items.join(old, list(keys), "left").select(*[F.coalesce(f"_{c}", c).alias(c) if c in kept else F.col(c) for c in existing.columns])
     return existing.join(named.select(*keys), list(keys), "left_anti").unionByName(fresh)
 

@@ -22,7 +22,8 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """JSON lines under a schema; blank lines are skipped, gzip is read by its suffix, a broken line is an error."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return rows.select(*schema.names) if isinstance(schema, T.StructType) else rows  # folder names come last otherwise
 
 
 def write_jsonl(df: DataFrame, path: str, by: Sequence[str] = (), compressed: bool = True) -> None:

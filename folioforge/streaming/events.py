@@ -35,15 +35,14 @@ def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
 def upserting(stream: DataFrame, target: str, key: Sequence[str], order: str):
     """A stream into a keyed table at `target`, one version for each batch: running a batch again changes nothing.
 
-    The batch's last row of a key wins. A reader takes the newest version; the older ones can be removed.
+    The row of a key that is last by `order` wins, whatever batch brings it. A reader takes the newest version; the older
+    ones can be removed.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
-        last = rows.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), order).alias("_r")).select("_r.*")
         if number:
-            old = spark.read.schema(rows.schema).parquet(f"{target}/v{number - 1}")
-            last = old.join(last.select(*key), list(key), "left_anti").unionByName(last)
+            rows = rows.unionByName(rows.sparkSession.read.schema(rows.schema).parquet(f"{target}/v{number - 1}"))
+        last = rows.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), order).alias("_r")).select("_r.*")
         last.write.mode("overwrite").parquet(f"{target}/v{number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{target}/_checkpoint").trigger(availableNow=True)

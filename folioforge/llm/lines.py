@@ -19,6 +19,8 @@ from folioforge.llm.common import materialize, own, table
 
 #: Words from which on a line is compared at all, and from which on with one edit.
 LEAST, FUZZY = 3, 8
+#: Hashes of lines that are sent to all tasks at most, 8 bytes and two flags each.
+SENT = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -31,25 +33,39 @@ def _key_of_row(doc_id: str, text: str) -> list[Column]:
     return [F.xxhash64(doc_id, text).alias("k1"), F.xxhash64(F.lit(1), text, doc_id).alias("k2")]
 
 
-def line_places(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST) -> DataFrame:
+def _normal(line: Column) -> Column:
+    """Words with single spaces between; the pattern runs only over lines that hold other white space."""
+    odd = F.contains(line, F.lit("  "))
+    for c in "\t\x0b\x0c\r":
+        odd = odd | F.contains(line, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(line, SPACE, " ")).otherwise(line))
+
+
+def _lines(documents: DataFrame, text: str, doc_id: str, least: int) -> DataFrame:
     """(k1, k2, place: struct<doc_id, line_no>, norm, n, h1, h2) of every line of `least` words or more."""
     lines = documents.select(F.col(doc_id).alias("doc_id"), *_key_of_row(doc_id, text), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    norm = F.trim(F.regexp_replace("line", SPACE, " "))
-    rows = lines.select("k1", "k2", F.struct("doc_id", "line_no").alias("place"), norm.alias("norm")).withColumn("n", F.when(F.col("norm") == "", 0).otherwise(1 + F.char_length("norm") - F.char_length(F.replace("norm", F.lit(" "), F.lit("")))))
-    return rows.where(F.col("n") >= least).select("*", *_two(F.col("norm")))
+    rows = lines.select("k1", "k2", F.struct("doc_id", "line_no").alias("place"), _normal(F.col("line")).alias("norm"))
+    n = F.when(F.col("norm") == "", 0).otherwise(1 + F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit(""))))
+    return rows.withColumn("n", n).where(F.col("n") >= least).select("*", *_two(F.col("norm")))
 
 
-def _halves(words: Column, n: Column) -> Column:
+def _halves(norm: Column, n: Column) -> Column:
     """Keys of the first and the last half, as the shorter (or equal) line of a pair and as the longer one."""
 
     def pair(length: Column) -> list[Column]:
         a = F.floor(length / 2).cast("int")
-        first, last = F.array_join(F.slice(words, 1, a), " "), F.array_join(F.slice(words, a - length, length - a), " ")
-        return [F.struct(F.lit(side).alias("side"), F.xxhash64(length, F.lit(side), half).alias("key")) for side, half in ((0, first), (1, last))]
+        first, last = F.call_function("substring_index", norm, F.lit(" "), a), F.call_function("substring_index", norm, F.lit(" "), a - length)
+        return [F.xxhash64(length, F.lit(side), half) for side, half in ((0, first), (1, last))]
 
     return F.array(*pair(n), *pair(n - 1))
 
 
+def places(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST, fuzzy: int = FUZZY) -> DataFrame:
+    """Every line of `least` words or more without its text: whose it is, its place, its hash and its halves' keys."""
+    rows = _lines(documents, text, doc_id, least)
+    return rows.select("k1", "k2", "place", "h1", "h2", F.when(F.col("n") >= fuzzy, _halves(F.col("norm"), F.col("n"))).alias("halves"))
+
+
 def _variants(words: Column, n: Column, first: Column, last: Column) -> Column:
     """Keys of the line itself and of what is left without one word; by class: 0 exchanged, 1 whole, 2 longer by a word.
 
@@ -78,24 +94,30 @@ def _at_most_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), differ <= 1).when(F.size(long) == F.size(short) + 1, left == short).otherwise(F.lit(False))
 
 
-def near_lines(distinct: DataFrame, fuzzy: int = FUZZY) -> DataFrame:
+def near_lines(lines: DataFrame, placed: DataFrame) -> DataFrame:
     """(h1, h2, near): for distinct lines the place of the earliest other line at distance one, where there is one.
 
-    distinct: (h1, h2, norm, n, first).
+    lines: every line with its text, as a plan; placed: the same without, as a table. Few lines share a half with another
+    one; only these are read again with their text. Up to SENT of them go to the tasks, more are joined by a shuffle.
     """
-    lines = distinct.where(F.col("n") >= fuzzy).withColumn("words", F.split("norm", " "))
-    halves = lines.select("h1", "h2", F.inline(_halves(F.col("words"), F.col("n"))))
+    halves = placed.where("halves is not null").select("h1", F.posexplode("halves").alias("side", "key"))
     shared = halves.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("key")
-    sides = halves.join(shared, "key", "left_semi").groupBy("h1", "h2").agg(F.max(F.col("side") == 0).alias("first_half"), F.max(F.col("side") == 1).alias("last_half"))
-    some = materialize(lines.select("h1", "h2", "first", "words", "n").join(sides, ["h1", "h2"]), "lines")
-    keys = some.select("h1", "h2", "first", F.inline(_variants(F.col("words"), F.col("n"), F.col("first_half"), F.col("last_half"))))
+    side = F.col("side") % 2
+    sides = halves.join(shared, "key", "left_semi").groupBy("h1").agg(F.max(side == 0).alias("first_half"), F.max(side == 1).alias("last_half"))
+    sides = materialize(sides, "halves")
+    sent = F.broadcast(sides) if sides.count() <= SENT else sides
+    found = lines.select("h1", "h2", "place", "n", "norm").join(sent, "h1")
+    some = found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"), F.first("n").alias("n"), F.first("first_half").alias("first_half"), F.first("last_half").alias("last_half"))
+    some = materialize(some, "lines")
+    keys = some.select("h1", "h2", "first", F.inline(_variants(F.split("norm", " "), F.col("n"), F.col("first_half"), F.col("last_half"))))
     who = F.struct("first", "h1", "h2")
     least = keys.groupBy("key").agg(*[F.min(F.when(F.col("class") == c, who)).alias(f"least{c}") for c in range(3)], F.count("*").alias("lines")).where("lines > 1").drop("lines")
     other = F.when(F.col("class") == 0, F.col("least0")).when(F.col("class") == 1, F.col("least2")).otherwise(F.col("least1"))
     pairs = keys.join(least, "key").select("h1", "h2", other.alias("other")).where("other is not null and not (h1 = other.h1 and h2 = other.h2)").select("h1", "h2", F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2"), F.col("other.first").alias("near")).distinct()
-    of = some.select("h1", "h2", "words")
-    there = some.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("others"))
-    return pairs.join(of, ["h1", "h2"]).join(there, ["o1", "o2"]).where(_at_most_one_edit(F.col("words"), F.col("others"))).groupBy("h1", "h2").agg(F.min("near").alias("near"))
+    of = some.select("h1", "h2", "norm")
+    there = some.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("norm").alias("others"))
+    joined = pairs.join(of, ["h1", "h2"]).join(there, ["o1", "o2"])
+    return joined.where(_at_most_one_edit(F.split("norm", " "), F.split("others", " "))).groupBy("h1", "h2").agg(F.min("near").alias("near"))
 
 
 def repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST, fuzzy: int = FUZZY) -> DataFrame:
@@ -106,12 +128,11 @@ def repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     `equal` before `near`; earlier: the earliest such line. Lines of one place (rows that share an id) are never earlier
     than each other, so repeated rows keep their lines. A null text has no lines; an empty table gives no rows.
     """
-    places = line_places(documents, text, doc_id, least)
-    distinct = places.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("n").alias("n"), F.first(F.when(F.col("n") >= fuzzy, F.col("norm"))).alias("norm"))
-    distinct = materialize(distinct, "distinct")
-    near = near_lines(distinct, fuzzy)
-    marked = distinct.select("h1", "h2", "first", "last").join(near, ["h1", "h2"], "left").where("first < last or near < last").drop("last")
-    found = places.select("k1", "k2", "place", "h1", "h2").join(marked, ["h1", "h2"])
+    placed = materialize(places(documents, text, doc_id, least, fuzzy), "places")
+    near = near_lines(_lines(documents, text, doc_id, fuzzy), placed)
+    distinct = placed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    marked = distinct.join(near, ["h1", "h2"], "left").where("first < last or near < last").drop("last")
+    found = placed.select("k1", "k2", "place", "h1", "h2").join(marked, ["h1", "h2"])
     equal, close = F.col("first") < F.col("place"), F.coalesce(F.col("near") < F.col("place"), F.lit(False))
     return found.where(equal | close).select("k1", "k2", "place.doc_id", "place.line_no", F.when(equal, "equal").otherwise("near").alias("reason"), F.when(equal, F.col("first")).otherwise(F.col("near")).alias("earlier"))
 

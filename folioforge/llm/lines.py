@@ -66,22 +66,20 @@ def places(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     return rows.select("k1", "k2", "place", "h1", "h2", F.when(F.col("n") >= fuzzy, _halves(F.col("norm"), F.col("n"))).alias("halves"))
 
 
-def _variants(words: Column, n: Column, first: Column, last: Column) -> Column:
+def _variants(norm: Column, n: Column, first: Column, last: Column) -> Column:
     """Keys of the line itself and of what is left without one word; by class: 0 exchanged, 1 whole, 2 longer by a word.
 
     first: the line shares its first half, so that the edit is in the last one; last: the other way round.
     """
     middle = F.floor((n - 1) / 2).cast("int")
     at = F.filter(F.sequence(F.lit(0), n - 1), lambda p: (first & (p >= middle)) | (last & (p <= middle + 1)))
-
-    def without(p: Column) -> Column:
-        return F.concat_ws(" ", F.slice(words, F.lit(1), p), F.slice(words, p + 2, F.greatest(n - p - 1, F.lit(0))))
+    words = lambda count: F.call_function("substring_index", norm, F.lit(" "), count)
 
     def keys(p: Column) -> Column:
-        left = F.array(without(p))
+        left = F.array(F.trim(F.concat(words(p), F.lit(" "), words(p + 1 - n))))
         return F.get(F.transform(left, lambda v: F.array(F.struct(F.lit(0).alias("class"), F.xxhash64(n, p, v).alias("key")), F.struct(F.lit(2).alias("class"), F.xxhash64(n - 1, F.lit(-1), v).alias("key")))), F.lit(0))
 
-    whole = F.struct(F.lit(1).alias("class"), F.xxhash64(n, F.lit(-1), F.array_join(words, " ")).alias("key"))
+    whole = F.struct(F.lit(1).alias("class"), F.xxhash64(n, F.lit(-1), norm).alias("key"))
     return F.concat(F.flatten(F.transform(at, keys)), F.array(whole))
 
 
@@ -109,7 +107,7 @@ def near_lines(lines: DataFrame, placed: DataFrame) -> DataFrame:
     found = lines.select("h1", "h2", "place", "n", "norm").join(sent, "h1")
     some = found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"), F.first("n").alias("n"), F.first("first_half").alias("first_half"), F.first("last_half").alias("last_half"))
     some = materialize(some, "lines")
-    keys = some.select("h1", "h2", "first", F.inline(_variants(F.split("norm", " "), F.col("n"), F.col("first_half"), F.col("last_half"))))
+    keys = materialize(some.select("h1", "h2", "first", F.inline(_variants(F.col("norm"), F.col("n"), F.col("first_half"), F.col("last_half")))), "variants")
     who = F.struct("first", "h1", "h2")
     least = keys.groupBy("key").agg(*[F.min(F.when(F.col("class") == c, who)).alias(f"least{c}") for c in range(3)], F.count("*").alias("lines")).where("lines > 1").drop("lines")
     other = F.when(F.col("class") == 0, F.col("least0")).when(F.col("class") == 1, F.col("least2")).otherwise(F.col("least1"))

@@ -168,13 +168,12 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataF
 def clean(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that the rules keep, with their columns.
 
-    The texts don't go through the shared folder: the references come from one pass, the verdicts from a second one. The
-    verdict is computed under a generator, so that the filter on it stays above and nothing is computed again for it.
+    Documents and measures are written to the shared folder together, so that each text is measured once; the references
+    read only the counts back, and the filter runs over finished measures.
     """
-    known = references(measures(documents.select(text, lang), text, lang, base=False), lang)
     row = documents.select(F.struct(*documents.columns).alias(own("row")), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    judged = verdicts(measures(row), known).select(own("row"), F.explode(F.array("kept")).alias(own("kept")))
-    return judged.where(own("kept")).select(f"{own('row')}.*")
+    measured = materialize(measures(row).drop("text"), "measured")
+    return verdicts(measured, references(measured)).where("kept").select(f"{own('row')}.*")
 
 
 def digest(spark: SparkSession, sf_dir: str) -> DataFrame:

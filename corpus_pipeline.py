@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, line dedup, SimHash near-dedup, benchmark decontamination, BPE coding.
+"""The corpus pipeline: quality rules, line dedup, near-dedup by word shingles, benchmark decontamination, BPE coding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of `documents`.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, decontaminate, lines, quality, simhash
+from folioforge.llm import bpe, decontaminate, lines, quality, similar
 from folioforge.llm.common import materialize, table
 
 
@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id."""
-    return simhash.one_of_each(docs)
+    """One document of each group that links of similarity 0.8 in five-word shingles join stays: the one with the least id."""
+    return similar.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

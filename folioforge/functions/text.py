@@ -116,4 +116,10 @@ def trim_after(text: Column, pattern: str, least: int = 40) -> Column:
 def find_all(text: Column, patterns: list[str]) -> Column:
     """Matches of all patterns in pattern order, each once, whatever its case; the first spelling is kept."""
     found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0)) for p in patterns]))
-    return F.array_compact(F.transform(found, lambda m, i: F.when(~F.exists(F.slice(found, F.lit(1), i), lambda e: F.lower(e) == F.lower(m)), m)))
+    # Both arrays are made once, and passed on as an array of one struct.
+    once = F.transform(F.array(F.struct(found.alias("found"), F.transform(found, F.lower).alias("lower"))), _first_spellings)
+    return F.get(once, F.lit(0))
+
+
+def _first_spellings(x: Column) -> Column:
+    return F.transform(F.array_distinct(x["lower"]), lambda m: F.get(x["found"], F.array_position(x["lower"], m).cast("int") - 1))

@@ -231,7 +231,7 @@ QUERIES = {
     "normalize_address": text_of(lambda c: T.tidy_article(F.concat(F.lit("X. –"), F.char_length(c).cast("string")))),
     "repair_article_numbers": text_of(lambda c: T.repair_article_number(F.translate(F.char_length(c).cast("string"), "015", "OlS"))),
     "running_head": text_of(lambda c: T.without_page_number(F.concat_ws(" ", F.char_length(c).cast("string"), head(F.split(c, "\n")[0])))),
-    "statutory_refs": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.find_all(F.substring("text", 1, 2000), STATUTES[:2]), "|").alias("refs")),
+    "statutory_refs": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.find_all(F.col("text"), STATUTES), "|").alias("refs")),
 }
 
 

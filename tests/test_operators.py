@@ -7,6 +7,7 @@ from folioforge.functions import python as P
 from folioforge.functions import text as T
 from folioforge.operators import cards, folds, hierarchy, layout, qa, relational, search
 from folioforge.operators import sequence as S
+from folioforge.plans import corpus
 from folioforge.sources import files
 from folioforge.streaming import events
 
@@ -206,3 +207,10 @@ def test_streamed_upsert_is_idempotent(spark, tmp_path):
     versions = sorted(p.name for p in (tmp_path / "state").glob("v*"))
     last = spark.read.parquet(f"{tmp_path}/state/v{len(versions) - 1}")
     assert sorted(map(tuple, last.collect())) == [(u, max(i for i in range(40) if i % 7 == u), f"t{max(i for i in range(40) if i % 7 == u)}") for u in range(7)]
+
+
+def test_statutory_refs_reads_whole_texts_and_all_patterns(spark, tmp_path):
+    texts = [(1, "x " * 1500 + "the Nation of section 12, THE nation, Section 12 and the station", "en"), (2, None, "en"), (3, "", "en")]
+    frame(spark, texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["refs"] for r in corpus.QUERIES["statutory_refs"](spark, str(tmp_path)).collect()}
+    assert got == {1: "section 12|Nation|section|station|the Nation|the station", 2: None, 3: ""}

@@ -1,21 +1,25 @@
 """SimHash near-dedup: exact pairs of fingerprints within a Hamming radius, found with a forest of vantage-point trees.
 
-A pair within r of 64 bits is within r // g of the bits of one of g groups. Each group has a vantage-point tree in the
-Hamming distance over its own bits (fixed points, one for each level; a child for either side of the middle distance).
-A fingerprint is stored in the leaf that its distances lead to and searches every leaf that the triangle bound
-|d(x, p) - d(y, p)| <= d(x, y) leaves open within r // g: near a boundary that is both children. With the default of 4
-bits and 5 groups r // g is 0, so a fingerprint searches its own leaf only. Leaves are the shards; inside one the tree is
-carried on in the distance over all 64 bits: fingerprints are sorted by their distance to a vantage point, and a search
-compares only those within r of its own distance.
+The 64 bits are dealt into g groups. A pair within r bits agrees in all bits of g - r groups at least, so there is one
+tree for every choice of so many groups, and g is the least for which the leaves of so many fingerprints stay small: 5
+trees of 12 bits, 15 of 21 or 35 of 27 for r = 4. A tree has fixed vantage points in the Hamming distance over its own
+bits, one for each level, and a child for either side of the middle distance. A fingerprint is stored in the leaf that its
+distances lead to and searches every leaf that the triangle bound |d(x, p) - d(y, p)| <= d(x, y) leaves open: its own
+where a pair must agree in the tree's bits, and with fewer groups than r + 1, where it may differ in r // g of them, both
+children near a boundary. Leaves are the shards. Inside one the tree is carried on in the distance over all 64 bits:
+fingerprints are sorted by their distance to a vantage point, and one is compared only with those within r of its own.
 
 Equal fingerprints are one node. A leaf returns stars, not pairs: a search takes the fingerprints that it reaches out of
 the leaf's remaining ones, so a large group of near copies costs one row each.
+
+Near-dedup of texts by the similarity of their shingles is in `similar`, over leaves of the same kind.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,8 +33,6 @@ from folioforge.llm.components import components
 
 MAX_BITS = 4
 SHINGLE = 4
-#: Groups of bits, that is trees. More than MAX_BITS of them make every search exact-match in one group.
-GROUPS = 5
 #: Fingerprints that a leaf shall hold about, and most; a fuller leaf is searched by pairs of its blocks.
 LEAF, LEAF_MOST = 1_000, 8_000
 SEED = 42
@@ -68,13 +70,22 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _leaves(fp: Column, group: int, groups: int, levels: int, radius: int) -> Column:
-    """The leaves of one group's tree that a search within radius visits, as an array of codes; the first is its own."""
-    bits = [b for b in range(64) if b % groups == group]
+def forest(n: int, max_bits: int = MAX_BITS, groups: int | None = None, leaf: int = LEAF) -> tuple[list[list[int]], int]:
+    """The bits of each tree for n fingerprints, and the radius of a search in a tree."""
+    if groups is not None and groups <= max_bits:
+        return [[b for b in range(64) if b % groups == i] for i in range(groups)], max_bits // groups
+    g = groups or max_bits + 1
+    while groups is None and g < max_bits + 3 and n > leaf << (64 * (g - max_bits) // g):
+        g += 1
+    return [[b for b in range(64) if b % g in some] for some in combinations(range(g), g - max_bits)], 0
+
+
+def _leaves(fp: Column, tree: int, bits: list[int], levels: int, radius: int) -> Column:
+    """The leaves of one tree that a search within radius visits, as an array of codes; the first is its own."""
     mask, middle = sum(1 << b for b in bits), (len(bits) - 1) // 2
     out = F.array(F.lit(0))
-    for level in range(levels):
-        point = int.from_bytes(xxhash.xxh64_digest(f"vantage {group} {level}", 0), "big") & mask
+    for level in range(min(levels, len(bits))):
+        point = int.from_bytes(xxhash.xxh64_digest(f"vantage {tree} {level}", 0), "big") & mask
         d = F.bit_count(fp.bitwiseXOR(F.lit(_signed(point))).bitwiseAND(F.lit(_signed(mask))))
         if not radius:
             code = F.when(d > middle, F.lit(1 << level)).otherwise(F.lit(0))
@@ -91,78 +102,88 @@ def _added_to(codes: Column):
     return lambda side: F.transform(codes, lambda code: code + side)
 
 
-def _in_tree(group: int):
-    return lambda leaf: F.struct(F.lit(group).alias("tree"), leaf.alias("leaf"))
+def _in_tree(tree: int):
+    return lambda leaf: F.struct(F.lit(tree).alias("tree"), leaf.alias("leaf"))
 
 
-def links(fingerprints: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS, groups: int = GROUPS, leaf: int = LEAF, leaf_most: int = LEAF_MOST) -> DataFrame:
+def links(fingerprints: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS, groups: int | None = None, leaf: int = LEAF, leaf_most: int = LEAF_MOST) -> DataFrame:
     """Edges (u, v) between distinct fingerprints that join the same pairs as all links at max_bits or fewer bits do.
 
     Every edge is a chain of links inside one leaf and every link lies in some leaf, so both have the same components.
     """
     nodes = fingerprints.select(F.col(fp).alias("fp"))
     n = nodes.count()
-    radius = max_bits // groups
-    levels = max(0, min(64 // groups, math.ceil(math.log2(max(1, n) / leaf))))
-    trees = F.array(*[F.transform(_leaves(F.col("fp"), g, groups, levels, radius), _in_tree(g)) for g in range(groups)])
-    members = nodes.select("fp", F.inline(F.flatten(trees)))
-    # At most groups * 2 ** (64 // groups) leaves, whatever the number of documents; only overfull ones come back.
+    trees, radius = forest(n, max_bits, groups, leaf)
+    levels = max(0, math.ceil(math.log2(max(1, n) / leaf)))
+    codes = F.array(*[F.transform(_leaves(F.col("fp"), i, bits, levels, radius), _in_tree(i)) for i, bits in enumerate(trees)])
+    members = nodes.select("fp", F.inline(F.flatten(codes))).select("tree", "leaf", F.col("fp").alias("id"), "fp")
+    return leaf_stars(members, ["fp"], max_bits, leaf_most).select("u", "v").distinct()
+
+
+def leaf_stars(members: DataFrame, words: list[str], max_bits: int, leaf_most: int = LEAF_MOST) -> DataFrame:
+    """(tree, leaf, a, b, u, v): stars over the ids of rows (tree, leaf, id, *words) that links inside their leaf join.
+
+    An overfull leaf is searched by pairs (a, b) of its blocks. There are as many leaves as fingerprints / LEAF in each
+    tree, and fewer full ones than rows / leaf_most, so that adaptive execution chooses how these come back.
+    """
     full = members.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf_most).select("tree", "leaf", F.ceil(F.col("n") / leaf_most).cast("int").alias("blocks"))
-    members = members.join(F.broadcast(full), ["tree", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    members = members.join(full, ["tree", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = members.withColumn("block", block).withColumn("other", other).select("tree", "leaf", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "fp")
-    return members.groupBy("tree", "leaf", "a", "b").applyInPandas(_leaf_search(max_bits), "u long, v long").distinct()
+    members = members.withColumn("block", block).withColumn("other", other).select("tree", "leaf", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id", *words)
+    return members.groupBy("tree", "leaf", "a", "b").applyInPandas(_leaf_search(words, max_bits), "tree int, leaf int, a int, b int, u long, v long")
 
 
-def _leaf_search(max_bits: int):
-    def search(leaf: pd.DataFrame) -> pd.DataFrame:
-        u, v = stars(np.unique(leaf["fp"].to_numpy().view(np.uint64)), max_bits)
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+def _leaf_search(words: list[str], max_bits: int):
+    def search(key: tuple, leaf: pd.DataFrame) -> pd.DataFrame:
+        ids, first = np.unique(leaf["id"].to_numpy(), return_index=True)
+        fps = np.stack([leaf[w].to_numpy().view(np.uint64)[first] for w in words], axis=1)
+        u, v = stars(fps, max_bits)
+        return pd.DataFrame({**dict(zip(("tree", "leaf", "a", "b"), key)), "u": ids[u], "v": ids[v]})
 
     return search
 
 
-def stars(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from one fingerprint of each group that links join to all others of the group."""
+def _distance(fps: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fps ^ x).sum(axis=-1, dtype=np.int32)
+
+
+def stars(fps: np.ndarray, max_bits: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from one fingerprint of each group that links join to all others of the group, as indices of fps (n, words)."""
+    none = np.empty(0, np.int64)
     if len(fps) < 2:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    far = np.bitwise_count(fps ^ fps[0]).astype(np.int64)
+        return none, none
+    far = _distance(fps, fps[0])
     order = np.argsort(far, kind="stable")
     fps, far = fps[order], far[order]
-    # The distances from the vantage point, and where each one's run begins; what is reached leaves the run.
-    left = {d: fps[far == d] for d in np.unique(far).tolist()}
-    roots, reached = [], []
-    for d in sorted(left):
-        while len(left[d]):
-            root = left[d][0]
-            left[d] = left[d][1:]
-            frontier = [(root, d)]
-            while frontier:
-                x, dx = frontier.pop()
-                for e in range(dx - max_bits, dx + max_bits + 1):
-                    if e not in left or not len(left[e]):
-                        continue
-                    near = np.bitwise_count(left[e] ^ x) <= max_bits
-                    if near.any():
-                        new = left[e][near]
-                        left[e] = left[e][~near]
-                        roots.append(np.full(len(new), root, np.uint64))
-                        reached.append(new)
-                        frontier += [(y, e) for y in new]
-    if not roots:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    return np.concatenate(roots), np.concatenate(reached)
-
-
-def rooted(fingerprints: DataFrame, max_bits: int = MAX_BITS, groups: int = GROUPS, **leaves: int) -> DataFrame:
+    linked = np.zeros(len(fps), bool)
+    for i in range(0, len(fps), rows):  # by the triangle bound nothing else can be within reach
+        some = fps[i : i + rows]
+        low, high = np.searchsorted(far, far[i] - max_bits), np.searchsorted(far, far[i + len(some) - 1] + max_bits, "right")
+        near = sum(np.bitwise_count(some[:, None, w] ^ fps[None, low:high, w]).astype(np.int16) for w in range(fps.shape[1])) <= max_bits
+        linked[i : i + rows] = near.sum(axis=1) > 1
+    left, roots, reached = np.flatnonzero(linked), [none], [none]
+    while len(left):
+        root, frontier, left = left[0], [left[0]], left[1:]
+        while frontier and len(left):
+            x = frontier.pop()
+            near = _distance(fps[left], fps[x]) <= max_bits
+            if near.any():
+                new, left = left[near], left[~near]
+                roots.append(np.full(len(new), root))
+                reached.append(new)
+                frontier += new.tolist()
+    return order[np.concatenate(roots)], order[np.concatenate(reached)]
+
+
+def rooted(fingerprints: DataFrame, max_bits: int = MAX_BITS, groups: int | None = None, **leaves: int) -> DataFrame:
     """(fp, least, root) for every distinct fingerprint of rows (doc_id, fp): its least id, and one fingerprint that stands for its component."""
     distinct = fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links(distinct, "fp", max_bits, groups, **leaves))
     return distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", F.col("fp")).alias("root"))
 
 
-def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int = GROUPS, **leaves: int) -> DataFrame:
+def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int | None = None, **leaves: int) -> DataFrame:
     """(doc_id, fp, component_id), one row for each document.
 
     fp: the fingerprint as a signed long; component_id: the least doc_id that links reach, its own included. A null or
@@ -177,7 +198,7 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     return rows.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int = GROUPS, **leaves: int) -> DataFrame:
+def one_of_each(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE, groups: int | None = None, **leaves: int) -> DataFrame:
     """One document of each component, with the columns of `documents`.
 
     It is the one with the least doc_id, null ids last; of rows that share this id the one with the least hash of its

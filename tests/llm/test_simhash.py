@@ -51,7 +51,7 @@ def test_components_equal_brute_force(spark):
         fps.append(f)
     want = roots(fps)
     rows = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "doc_id long, fp long")
-    for options in ({}, {"groups": 2, "leaf": 20}, {"groups": 1, "leaf": 30}, {"groups": 3, "leaf": 10, "leaf_most": 15}):
+    for options in ({}, {"leaf": 1}, {"groups": 6, "leaf": 20}, {"groups": 7, "leaf": 20}, {"groups": 2, "leaf": 20}, {"groups": 1, "leaf": 30}, {"groups": 3, "leaf": 10, "leaf_most": 15}):
         nodes = simhash.rooted(rows, **options)
         got = {}
         for r in rows.join(nodes, "fp").select("doc_id", "root").collect():
@@ -62,11 +62,17 @@ def test_components_equal_brute_force(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_trees_grow_with_the_number_of_fingerprints():
+    for n, trees, bits in ((10**5, 5, 12), (10**7, 15, 20), (10**10, 35, 27)):
+        found, radius = simhash.forest(n)
+        assert (len(found), radius) == (trees, 0) and min(map(len, found)) >= bits
+    assert simhash.forest(10**5, groups=3) == ([[b for b in range(64) if b % 3 == i] for i in range(3)], 1)
+
+
 def test_stars_join_what_links_join():
     rnd = random.Random(7)
     fps = sorted({rnd.getrandbits(10) << 3 for _ in range(120)})
-    u, v = simhash.stars(np.array(fps, np.uint64), 1)
-    index = {f: i for i, f in enumerate(fps)}
+    u, v = simhash.stars(np.array(fps, np.uint64).reshape(-1, 1), 1, rows=16)
     parent = list(range(len(fps)))
 
     def find(x):
@@ -75,7 +81,7 @@ def test_stars_join_what_links_join():
         return x
 
     for a, b in zip(u.tolist(), v.tolist()):
-        parent[max(find(index[a]), find(index[b]))] = min(find(index[a]), find(index[b]))
+        parent[max(find(a), find(b))] = min(find(a), find(b))
     want = roots(fps, 1)
     assert len({(find(i), want[i]) for i in range(len(fps))}) == len({find(i) for i in range(len(fps))}) == len(set(want))
 

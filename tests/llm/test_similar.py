@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from folioforge.llm import similar
 
@@ -47,7 +49,25 @@ def test_stage_equals_brute_force(spark):
     want = brute_force(docs)
     rows = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, rows, "").collect()} == want
-    assert {r["doc_id"] for r in similar.one_of_each(rows, block=2).collect()} == want
+    for options in ({"block": 2}, {"leaf": 20}, {"leaf": 4, "block": 3}):
+        assert {r["doc_id"] for r in similar.one_of_each(rows, **options).collect()} == want, options
+
+
+def test_trees_catch_pairs_at_the_similarity():
+    """Pairs of sets at 0.8 differ in few enough bits and share a leaf, for small and large numbers of texts."""
+    rnd = np.random.default_rng(8)
+    pairs = []
+    for _ in range(1_000):
+        both = rnd.integers(0, 1 << 64, 200, np.uint64)
+        a, b = (np.concatenate([both, rnd.integers(0, 1 << 64, 25, np.uint64)]) for _ in range(2))
+        assert similar.alike(np.unique(a), np.unique(b), 0.8)
+        pairs.append((similar.fingerprint(a), similar.fingerprint(b)))
+    one, two = (np.array(x, np.uint64) for x in zip(*pairs))
+    assert (np.bitwise_count(one ^ two).sum(axis=1) <= similar.MAX_BITS).mean() >= 0.99
+    for n in (1_000, 200_000, 10_000_000):
+        trees = similar.forest(n)
+        found = (similar.leaves(one, trees) == similar.leaves(two, trees)).any(axis=1).mean()
+        assert found >= 0.97, (n, len(trees), found)
 
 
 def test_messy(messy, nothing):

@@ -1,10 +1,13 @@
 """Main-text extraction by line-block distribution.
 
-Markup is stripped into lines, one for each block. Menus, headers, footers, sidebars, notices, adverts, forms, scripts
-and reader comments leave blank lines, as many as a window is long, and so does all that stands outside of an article
-where a page marks one. The text lengths are summed over sliding windows of lines. A surge point is where a window's sum
-rises over the limit (any text at all, in a marked article), a dive point where it has fallen to nothing; the text
-between them is kept whole.
+Markup is stripped into lines, one for each block. A line's length is its text outside of links; lines of menus, headers,
+footers, sidebars, notices, adverts, forms and reader comments have length 0. The lengths are summed over sliding windows
+of lines. A surge point is where a window's sum rises over the limit, a dive point where it has fallen to nothing; the
+text between them is kept whole, and so are the lines around it up to the next gap, which stands where such a container
+or an article begins or ends. The limit is LIMIT characters, or half of the page's own fullest window if that is less.
+
+Where a page marks an article, stretches outside of it go, and any text at all is a surge inside. A container that only
+its class, id or role marks counts as text if it holds more than half of the page's: then it is the page's own wrapper.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.common import table
 
-#: Lines of a window; characters that a window must exceed where no article is marked.
+#: Lines of a window; characters that a window must exceed at most where no article is marked.
 WINDOW, LIMIT = 3, 86
 
 #: Names of HTML elements, and words in class, id and role attributes.
@@ -42,31 +45,43 @@ def _marked(attributes: str) -> bool:
     return bool(attributes) and any(not MARKS.isdisjoint(_WORDS.findall(m.lower())) for m in _NAMED.findall(attributes))
 
 
-def lines_of(page: str) -> tuple[list[str], bool]:
-    """The page's lines, blank where nothing of the article can stand, and whether the page marks an article."""
-    lines: list[str] = []
-    inside: list[bool] = []
+class Line:
+    """A line of text: its length outside of links, the containers that leave it out (0: none), whether it is in an article."""
+
+    __slots__ = ("text", "free", "out", "article")
+
+    def __init__(self, text: str, free: int, out: int, article: bool):
+        self.text, self.free, self.out, self.article = text, free, out, article
+
+
+def lines_of(page: str) -> tuple[list[Line], list[bool]]:
+    """The page's lines in order, gaps as WINDOW blank lines, and of each container that leaves lines out whether its tag does."""
+    lines: list[Line] = []
     parts: list[str] = []
-    articles, seen = 0, False
+    by_tag = [False]
+    articles = links = free = 0
     out: tuple[str, int] | None = None  # the element that is left out, and how many of its name are open
 
     def close() -> None:
+        nonlocal free
         if text := " ".join("".join(parts).split()):
-            lines.append(text)
-            inside.append(articles > 0)
+            lines.append(Line(text, min(free, len(text)), len(by_tag) - 1 if out else 0, articles > 0))
         parts.clear()
+        free = 0
 
     def gap() -> None:
         close()
-        lines.extend([""] * WINDOW)
-        inside.extend([False] * WINDOW)
+        lines.extend(Line("", 0, 0, False) for _ in range(WINDOW))
 
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
-        if end > at and out is None:
-            parts.append(entities.unescape(page[at:end]))
+        if end > at:
+            text = entities.unescape(page[at:end])
+            parts.append(text)
+            if not links:
+                free += len(text)
         if not m:
             break
         at = m.end()
@@ -77,30 +92,51 @@ def lines_of(page: str) -> tuple[list[str], bool]:
             found = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = found.end() if found else n
             continue
+        if name == "a":
+            links = 0 if closing else 1
+        elif name in BLOCKS:
+            links = 0
         if out is not None:
+            done = False
             if name == out[0]:
-                out = (name, out[1] + (-1 if closing else name not in VOID))
-                if out[1] <= 0:
-                    out = None
+                left = out[1] + (-1 if closing else name not in VOID)
+                done = left <= 0
+                if not done:
+                    out = (name, left)
             elif not closing and (name == "body" or out[0] != "head" and name in ARTICLE and not _marked(attributes) and out[0] not in ("section", "div", "ul", "ol")):
-                out = None  # an element that was never closed
-            if out is not None:
-                continue
-            if closing:
+                done = True  # an element that was never closed
+            if done:
+                gap()
+                out = None
+            if not done or closing:
+                if name in SPACES:
+                    parts.append(" ")
+                elif name in BLOCKS:
+                    close()
                 continue
         if name in SPACES:
             parts.append(" ")
         elif name in ARTICLE and not (not closing and _marked(attributes)):
             gap()
             articles = max(0, articles - 1) if closing else articles + 1
-            seen = True
         elif not closing and name not in VOID and (name in OUT or name == "header" and not articles or name not in ("html", "body") and _marked(attributes)):
             gap()
             out = (name, 1)
+            by_tag.append(name in OUT or name == "header")
         elif name in BLOCKS:
             close()
     close()
-    return [text if own or not seen else "" for text, own in zip(lines, inside)], seen
+    return lines, by_tag
+
+
+def weights(lines: list[Line], by_tag: list[bool]) -> list[int]:
+    """The lines' lengths: 0 where a container leaves them out, unless a marked one holds more than half of the page's text."""
+    held = [0] * len(by_tag)
+    for line in lines:
+        held[line.out] += line.free
+    text = sum(h for h, tag in zip(held, by_tag) if not tag)
+    counts = [i == 0 or not tag and 2 * held[i] > text for i, tag in enumerate(by_tag)]
+    return [line.free if counts[line.out] else 0 for line in lines]
 
 
 def between(lengths: list[int], limit: int, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -123,9 +159,23 @@ def between(lengths: list[int], limit: int, window: int = WINDOW) -> list[tuple[
 
 
 def main_text(page: str) -> str:
-    lines, seen = lines_of(page)
-    kept = between([len(line) for line in lines], 0 if seen else LIMIT)
-    return "\n\n".join(line for a, b in kept for line in lines[a:b] if line)
+    lines, by_tag = lines_of(page)
+    lengths = weights(lines, by_tag)
+    if any(line.article and x for line, x in zip(lines, lengths)):
+        lengths, limit = [x if line.article else 0 for line, x in zip(lines, lengths)], 0
+    else:
+        fullest = max((sum(lengths[i : i + WINDOW]) for i in range(len(lengths))), default=0)
+        limit = min(LIMIT, fullest // 2)
+    kept: list[str] = []
+    done = 0
+    for a, b in between(lengths, limit):
+        while a > done and lines[a - 1].text:
+            a -= 1
+        while b < len(lines) and lines[b].text:
+            b += 1
+        a, done = max(a, done), max(b, done)
+        kept += [line.text for line in lines[a:b] if line.text]
+    return "\n\n".join(kept)
 
 
 def extracted(html: Column) -> Column:
@@ -140,7 +190,7 @@ def extracted(html: Column) -> Column:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """`pages` with `text`, the main text, in place of the html column.
 
-    A null or empty page, and one without a surge, has an empty text. Pages are read whole and judged one by one, repeated
+    A null or empty page, and one without text outside of links and left-out containers, has an empty text. Pages are read whole and judged one by one, repeated
     ones too; an empty table gives no rows. The caller's other columns stay, but for one named `text`.
     """
     return pages.withColumn("text", extracted(F.col(html))).drop(*([html] if html != "text" else []))

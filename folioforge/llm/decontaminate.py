@@ -6,24 +6,28 @@ last block is at hand is looked up in the bucket of that block, its first word t
 comparison of all words confirms the occurrence. In clean text nearly every probe jumps the longest way, so the cost is
 about one table look-up for nine words.
 
-Documents are never shuffled: the windows travel to them, in blocks of items of at most `block_bytes` of text each, so
-what is broadcast stays bounded however large the benchmark is.
+Documents aren't shuffled: the windows travel to them. A benchmark of up to `block_bytes` of text is one block; a larger
+one is searched by one pass over the documents for each block of items, so that a task holds the tables of one block only
+and no more than one block is broadcast or at the driver at once, however large the benchmark is. The tables hold the
+block's words once, with places of windows in them; a block of 8 MB takes about 300 MB in a Python worker.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import OrderedDict
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import own
+from folioforge.llm.common import materialize, own, table
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 
 _SEPARATED = bytes(c if c >= 0x80 or chr(c).isdigit() or chr(c).islower() else ord(chr(c).lower()) if chr(c).isupper() else 0x20 for c in range(256))
 
@@ -34,57 +38,77 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class _Length:
-    """The tables for all windows of one length."""
+    """The tables for all windows of one length: places in a list of all the block's words.
 
-    def __init__(self, m: int):
-        self.m, self.width = m, min(2, m)
+    Blocks of words are keyed by a number; two that share one get the smaller shift and one bucket, which costs a
+    comparison and loses nothing.
+    """
+
+    def __init__(self, m: int, words: list[bytes]):
+        self.m, self.words, self.width = m, words, min(2, m)
         self.far = m - self.width + 1
-        self.shift: dict = {}
-        self.bucket: dict = {}
+        self.shift: dict[int, int] = {}
+        self.bucket: dict[int, int | array] = {}
 
-    def add(self, window: list[bytes], item: str) -> None:
+    def _key(self, words: list[bytes], end: int) -> int:
+        return hash(words[end - 1]) if self.width == 1 else hash((words[end - 2], words[end - 1]))
+
+    def add(self, start: int) -> None:
         for end in range(self.width, self.m + 1):
-            block = tuple(window[end - self.width : end])
-            self.shift[block] = min(self.shift.get(block, self.far), self.m - end)
-        same = self.bucket.setdefault(tuple(window[-self.width :]), {}).setdefault(window[0], [])
-        for known, items in same:
-            if known == window:
-                items.add(item)
-                return
-        same.append((window, {item}))
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
-        m, width, far, jump = self.m, self.width, self.far, self.shift.get
+            key = self._key(self.words, start + end)
+            if self.shift.get(key, self.far) > self.m - end:
+                self.shift[key] = self.m - end
+        known = self.bucket.get(key)  # the last block's
+        if known is None:
+            self.bucket[key] = start
+        elif isinstance(known, int):
+            self.bucket[key] = array("q", (known, start))
+        else:
+            known.append(start)
+
+    def search(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(place in `words`, place in the block's words) of every occurrence of a window."""
+        m, far, jump, key = self.m, self.far, self.shift.get, self._key
         end, n = m, len(words)
         while end <= n:
-            block = (words[end - 2], words[end - 1]) if width == 2 else (words[end - 1],)
+            block = key(words, end)
             step = jump(block, far)
             if step:
                 end += step
                 continue
-            for window, items in self.bucket[block].get(words[end - m], ()):
-                if window == words[end - m : end]:
-                    yield end - m, items
+            first, window, places = words[end - m], None, self.bucket[block]
+            for at in (places,) if isinstance(places, int) else places:
+                if self.words[at] == first:
+                    window = window or words[end - m : end]
+                    if self.words[at : at + m] == window:
+                        yield end - m, at
             end += 1
 
 
 class WuManber:
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+        self.words: list[bytes] = []
+        self.items: list[str] = []
+        self.ends: list[int] = []
         by_length: dict[int, _Length] = {}
+        same: dict[bytes, bytes] = {}
         for item, text in items:
-            words = words_of(text)
-            m = min(window, len(words))
+            words = [same.setdefault(w, w) for w in words_of(text)]
+            start, m = len(self.words), min(window, len(words))
+            self.words += words
+            self.items.append(item)
+            self.ends.append(len(self.words))
             for i in range(len(words) - m + 1 if m else 0):
-                by_length.setdefault(m, _Length(m)).add(words[i : i + m], item)
+                by_length.setdefault(m, _Length(m, self.words)).add(start + i)
         self.lengths = list(by_length.values())
 
     def search(self, text: bytes) -> tuple[int, list[tuple[int, int]], list[str]]:
         """Number of words; disjoint hit intervals of words, end exclusive; items with occurring windows."""
         words, spans, found = words_of(text), [], set()
         for table in self.lengths:
-            for start, items in table.search(words):
+            for start, at in table.search(words):
                 spans.append((start, start + table.m))
-                found |= items
+                found.add(self.items[bisect_right(self.ends, at)])
         merged: list[tuple[int, int]] = []
         for start, end in sorted(spans):
             if merged and start <= merged[-1][1]:
@@ -97,15 +121,14 @@ class WuManber:
 _HITS = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
 _HITS_SQL = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
-#: A Python worker keeps the tables of the last few blocks that it has built.
-_BUILT: OrderedDict[str, WuManber] = OrderedDict()
+#: A Python worker keeps the tables of the last block that it has built: a pass uses one.
+_BUILT: dict[str, WuManber] = {}
 
 
 def _tables(key: str, items: list[tuple[str, bytes]], window: int) -> WuManber:
     if key not in _BUILT:
+        _BUILT.clear()
         _BUILT[key] = WuManber(items, window)
-        while len(_BUILT) > 2:
-            _BUILT.popitem(last=False)
     return _BUILT[key]
 
 
@@ -131,24 +154,36 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     spans: the hit words as disjoint intervals (end exclusive); items: the ids, as strings and in order, of the items with
     an occurring window. A null or empty text has no words; an item without words has no window; a null item id counts
     as the id "null"; rows of one item id count as one item; an empty benchmark hits nothing. Repeated documents are
-    judged one by one. The caller's columns stay, but for one named `contamination`.
+    judged one by one; very long texts are searched whole. The caller's columns stay, but for one named `contamination`.
     """
-    spark = documents.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
     blocks = size // block_bytes + 1
-    out, hits = documents, [own(f"hits{k}") for k in range(blocks)]
-    for k, name in enumerate(hits):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast([(r["item"], r["text"].encode()) for r in block.collect()])
-        out = out.withColumn(name, _searcher(shared, window)(F.col(text).cast("string")))
     if blocks == 1:
-        spans, found = F.col(hits[0])["spans"], F.col(hits[0])["items"]
-    else:
-        found = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(h)["items"] for h in hits]))))
-        spans = _merged(F.array_sort(F.flatten(F.array(*[F.col(h)["spans"] for h in hits]))))
+        out = documents.withColumn(own("hits"), _searcher(_shared(items), window)(F.col(text).cast("string")))
+        hits = F.col(own("hits"))
+        return out.withColumn("contamination", _contamination(hits["n_words"], hits["spans"], hits["items"])).drop(own("hits"))
+    rows = materialize(documents.withColumn(own("row"), F.monotonically_increasing_id()), "documents")
+    passes = []
+    for k in range(blocks):
+        shared = _shared(items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k))
+        hits = rows.select(own("row"), _searcher(shared, window)(F.col(text).cast("string")).alias("hits")).select(own("row"), "hits.*")
+        passes.append(materialize(hits.where("size(items) > 0") if k else hits, "hits"))
+        shared.unpersist()
+    together = reduce(DataFrame.unionByName, passes).groupBy(own("row")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    spans, found = _merged(F.array_sort("spans")), F.array_sort(F.array_distinct("items"))
+    judged = together.select(own("row"), "n_words", spans.alias("spans"), found.alias("items")).select(own("row"), _contamination(F.col("n_words"), F.col("spans"), F.col("items")).alias(own("judged")))
+    return rows.join(judged, own("row")).withColumn("contamination", F.col(own("judged"))).drop(own("row"), own("judged"))
+
+
+def _shared(items: DataFrame):
+    """One block of items, at most block_bytes of text or one item, as a broadcast."""
+    return items.sparkSession.sparkContext.broadcast([(r["item"], r["text"].encode()) for r in items.collect()])
+
+
+def _contamination(n_words, spans, items):
     n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return out.withColumn("contamination", F.struct(F.col(hits[0])["n_words"].alias("n_words"), n_hit.alias("n_hit"), spans.alias("spans"), found.alias("items"))).drop(*hits)
+    return F.struct(n_words.alias("n_words"), n_hit.alias("n_hit"), spans.alias("spans"), items.alias("items"))
 
 
 def _merged(spans):
@@ -169,8 +204,6 @@ def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def digest(spark, sf_dir: str) -> DataFrame:
     """Query op2_decontamination: all of `documents` against all of `benchmark`."""
-    from folioforge.llm.common import table
-
     judged = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     c = F.col("contamination")
     return judged.select(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import own, table
+from folioforge.llm.common import materialize, own, table
 
 
 @dataclass(frozen=True)
@@ -48,33 +48,55 @@ def _none(kind: str) -> Column:
     return F.expr(f"cast(array() as {kind})")
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed once for the row however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, chunk: int = 128) -> Column:
+    """Inclusive running sums of an array of bigint, in chunks, so that no long array is copied for every element."""
+    none = _none("array<bigint>")
+    last = lambda sums: F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0).cast("bigint"))
+    add = lambda sums, x: F.concat(sums, F.array(last(sums) + x))
+
+    def chunked(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / chunk).cast("int"), F.lit(0)))
+        return F.transform(starts, lambda c: F.aggregate(F.slice(v, c * chunk + 1, F.lit(chunk)), none, add))
+
+    def shifted(sums: Column) -> Column:
+        moved = lambda totals: F.transform(sums, lambda some, i: F.transform(some, lambda x: x + F.coalesce(F.get(totals, i - 1), F.lit(0))))
+        return F.flatten(_once(F.aggregate(F.transform(sums, last), none, add), moved))
+
+    return _once(_once(values, chunked), shifted)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """All leftmost, non-overlapping matches that pass, with code-point offsets, end exclusive.
 
-    The pieces between matches and the matches themselves alternate, so their lengths add up to the offsets.
+    The pieces between matches and the matches themselves alternate, so their lengths add up to the ends; the cost grows
+    with the number of matches.
     """
-    pieces = F.split(text, rule.pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), _none(FINDINGS).alias("spans"))
+    length = lambda x: F.char_length(x).cast("bigint")
+    # Split leaves one piece more than there are matches, the text's end.
+    steps = F.zip_with(F.transform(F.split(text, rule.pattern, -1), length), F.transform(whole, length), lambda piece, own_length: F.coalesce(piece, F.lit(0)) + F.coalesce(own_length, F.lit(0)))
+    ends = F.struct(running(steps).alias("ends"), F.transform(whole, length).alias("own"), F.transform(part, length).alias("part"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.char_length(x["piece"])
-        end = begin + F.char_length(x["whole"])
-        span = F.struct(F.lit(rule.key).alias("rule"), begin.alias("start"), end.alias("end"))
-        spans = F.when(F.char_length(x["part"]) >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+    def spans(x: Column) -> Column:
+        each = F.transform(x["own"], lambda n, i: F.struct(F.lit(rule.key).alias("rule"), (F.get(x["ends"], i) - n).alias("start"), F.get(x["ends"], i).alias("end"), F.get(x["part"], i).alias("part")))
+        return F.transform(F.filter(each, lambda s: s["part"] >= rule.least), lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end")))
 
-    steps = F.filter(F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), part.alias("part")), lambda x: x["whole"].isNotNull())
-    found = F.aggregate(steps, start, step, lambda state: state["spans"])
-    return F.when(F.regexp_like(text, F.lit(rule.pattern)), found).otherwise(_none(FINDINGS))
+    return F.when(F.regexp_like(text, F.lit(rule.pattern)), _once(ends, spans)).otherwise(_none(FINDINGS))
 
 
 def _in_order(spans: Column, rules: tuple[Rule, ...]) -> Column:
     """By start, then by rule as listed; each span once."""
     keys = F.array(*[F.lit(r.key) for r in rules])
     keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(keys, s["rule"]).alias("at"), s["end"].alias("end"), s["rule"].alias("rule")))
-    return F.transform(F.array_sort(F.array_distinct(keyed)), lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end")))
+    once = lambda sorted_spans: F.filter(sorted_spans, lambda s, i: (i == 0) | (s != F.get(sorted_spans, i - 1)))
+    ordered = _once(F.array_sort(keyed), once)
+    return F.transform(ordered, lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def address(text: Column) -> Column:
@@ -87,20 +109,28 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text
 
     ledger: earlier rows of this function, kept as a table by the caller; a blob is scanned only under the rule versions
     that its rows lack, and findings of rules that are no longer listed in that version are left out. A ledger may name a
-    blob in several rows, as runs that only append leave it. Null texts are the empty blob, without findings; an empty
-    table gives no rows.
+    blob in several rows, as runs that only append leave it. Null texts are the empty blob, without findings; very long
+    texts are scanned whole; an empty table gives no rows.
+
+    With a ledger the addresses are compared first, and only texts that lack a pair go on to be grouped and scanned: where
+    the unseen blobs are few, adaptive execution sends their addresses to the texts, which then don't move at all.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    blobs = versions.select(address(F.col(text)).alias("blob"), content.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    held = versions.select(address(F.col(text)).alias("blob"), content.alias("text"))
+    keys = F.array(*[F.lit(r.key) for r in rules])
+    of_rules = F.filter("earlier", lambda s: F.array_contains(keys, s["rule"]))
     if ledger is None:
-        blobs = blobs.withColumns({"known": _none("array<string>"), "earlier": _none(FINDINGS)})
+        blobs = held.groupBy("blob").agg(F.first("text").alias("text")).withColumns({"known": _none("array<string>"), "earlier": _none(FINDINGS)})
     else:
-        past = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("known"), F.array_distinct(F.flatten(F.collect_list("findings"))).alias("earlier"))
-        blobs = blobs.join(past, "blob", "left").withColumns({"known": F.coalesce("known", _none("array<string>")), "earlier": F.coalesce("earlier", _none(FINDINGS))})
-    keys = F.array(*[F.lit(r.key) for r in rules])
+        past = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("known"), F.flatten(F.collect_list("findings")).alias("earlier"))
+        here = materialize(held.select("blob").distinct().join(past, "blob", "left").withColumns({"known": F.coalesce("known", _none("array<string>")), "earlier": F.coalesce("earlier", _none(FINDINGS))}), "blobs")
+        lacking = F.size(F.array_except(keys, F.col("known"))) > 0
+        texts = held.join(here.where(lacking).select("blob"), "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text"))
+        blobs = texts.join(here.where(lacking), "blob")
+        seen = here.where(~lacking).select("blob", keys.alias("scanned"), _in_order(of_rules, rules).alias("findings"))
     fresh = [F.when(F.array_contains("known", r.key), _none(FINDINGS)).otherwise(_spans(F.col("text"), r)) for r in rules]
-    kept = F.filter("earlier", lambda s: F.array_contains(keys, s["rule"]))
-    return blobs.select("blob", keys.alias("scanned"), _in_order(F.concat(kept, *fresh), rules).alias("findings"))
+    scanned = blobs.select("blob", keys.alias("scanned"), _in_order(F.concat(of_rules, *fresh), rules).alias("findings"))
+    return scanned if ledger is None else scanned.unionByName(seen)
 
 
 def by_path(versions: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,23 @@ def test_ledger_scans_only_what_it_lacks(spark):
     assert kept == [("assign@1", 0)]  # known pairs aren't scanned again, findings of an old version go
 
 
+def test_many_matches_in_one_text(spark):
+    """The cost grows with the matches: 200,000 in one text take seconds."""
+    text = "\n".join(f"é {i:032x} token=abcdefgh{i}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.monotonic()
+    assert secrets.scan(docs).select(secrets.listing(F.col("findings"))).first()[0] == brute(text)
+    assert time.monotonic() - begun < 30
+
+
+def test_known_blobs_are_not_read_again(spark):
+    """A blob whose pairs the ledger has in full comes from there, in one or several rows; new ones are scanned."""
+    docs = spark.createDataFrame([(1, "token=abcdefgh1"), (2, "token=abcdefgh2"), (3, "token=abcdefgh2")], "doc_id long, text string")
+    first = secrets.scan(docs.where("doc_id = 1")).withColumn("findings", F.expr("array(struct('hex@1' as rule, 7L as start, 8L as end))"))
+    got = {r["blob"]: r["n"] for r in secrets.scan(docs, first.unionByName(first)).select("blob", secrets.listing(F.col("findings")).alias("n")).collect()}
+    assert sorted(got.values()) == ["assign:0:15", "hex:7:8"]
+
+
 def test_messy(messy, nothing):
     out = secrets.by_path(messy, secrets.scan(messy))
     assert out.count() == messy.count() and set(messy.columns) - {"text"} <= set(out.columns)

@@ -20,9 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one is set only where none is named."""
+    """The shared folder the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a local master gets a temporary one; on a cluster that would be a folder of the driver's machine
+    only, so it's an error there.
+    """
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = f"file://{tempfile.mkdtemp(prefix='folioforge-')}"
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")

@@ -6,8 +6,8 @@ by the Jensen-Shannon distance (base 2, so between 0 and 1). Short texts differ
 length is judged, and the limit for words falls with the square root of the length.
 
 Everything about a document is computed inside its row, so texts are never shuffled; the references are sums of a few
-counters for each listed language. A three-word window is compared by a hash of 63 bits less those that its position
-needs, 53 for a text of a thousand words.
+counters for each listed language. Three-word windows are sorted by a hash of 63 bits less those that their position needs,
+53 for a text of a thousand words, and neighbours of one hash are compared word by word.
 """
 
 from __future__ import annotations
@@ -52,16 +52,28 @@ def sorted_windows(words: Column, mask: Column) -> Column:
     return F.sort_array(F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(mask).bitwiseOR(i.cast("bigint"))))
 
 
-def repeated_words(windows: Column, mask: Column) -> Column:
-    """Words inside the three-word windows that occur twice or more, from sorted_windows."""
+def repeated_words(windows: Column, mask: Column, words: Column) -> Column:
+    """Words inside the three-word windows that occur twice or more, from sorted_windows.
+
+    Neighbours of one hash are compared word by word. Where they differ the next but one is compared too, so that a
+    window of the same hash between two equal ones hides nothing.
+    """
+    place = lambda x: x.bitwiseAND(F.bitwise_not(mask)).cast("int")
+
+    def same(x: Column, y: Column) -> Column:
+        equal = F.lit(True)
+        for k in range(3):
+            equal = equal & (F.get(words, place(x) + k) == F.get(words, place(y) + k))
+        return (x.bitwiseXOR(y).bitwiseAND(mask) == 0) & equal
 
     def both(x: Column, j: Column) -> Column:
-        after = F.get(windows, j + 1)
-        return F.when(x.bitwiseXOR(after).bitwiseAND(mask) == 0, F.array(x.bitwiseAND(F.bitwise_not(mask)), after.bitwiseAND(F.bitwise_not(mask))))
+        after, next_one = F.get(windows, j + 1), F.get(windows, j + 2)
+        near = x.bitwiseXOR(after).bitwiseAND(mask) == 0
+        return F.when(near, F.when(same(x, after), F.array(place(x), place(after))).when(same(x, next_one), F.array(place(x), place(next_one))))
 
     at = F.array_sort(F.array_distinct(F.flatten(F.array_compact(F.transform(windows, both)))))
-    none = F.struct(F.lit(-3).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(at, none, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3).cast("bigint"), p - a["last"])).alias("n")), lambda a: a["n"])
+    none = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
+    return F.aggregate(at, none, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")), lambda a: a["n"])
 
 
 def _class_counts(text: Column) -> Column:
@@ -103,7 +115,7 @@ def measures(documents: DataFrame, text: str = "text", lang: str = "lang", base:
             "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
             "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
             "n_dup_lines": (F.size(own("lines")) - F.size(F.array_distinct(own("lines")))).cast("long"),
-            "n_repeat_words": F.when(F.size(own("windows")) > 1, repeated_words(F.col(own("windows")), mask)).otherwise(F.lit(0).cast("long")),
+            "n_repeat_words": F.when(F.size(own("windows")) > 1, repeated_words(F.col(own("windows")), mask, words)).otherwise(F.lit(0).cast("long")),
         }
     ).drop(*[own(c) for c in ("common", "words", "lines", "mask", "windows")])
 

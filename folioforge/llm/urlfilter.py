@@ -6,8 +6,8 @@ over the sorted keys keeps a stack of the rules that have begun: one place for e
 rule host of that many labels. What is on the stack is active where the key still begins with it. The paths are compared
 last, among the active rules only.
 
-The sweep runs over distinct hosts, in blocks of the key space (the key's first label), each dealt out over `spread`
-tasks by a hash of the host; rules, which are few against hosts, go to every one of these tasks. The stacks are joined
+The sweep runs over distinct hosts, in blocks of the key space (the key's first label), each dealt out over parts by a
+hash of the host, as many as there are PART hosts; rules, which are few against hosts, go to every one of these parts. The stacks are joined
 back to the urls by host, where the adaptive join splits a host that holds a large part of them.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import own, table
+from folioforge.llm.common import materialize, own, table
 
 #: Verdict, host, path.
 RULES = (
@@ -27,8 +27,8 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Tasks that a block of hosts is dealt out over, each with the block's rules.
-SPREAD = 64
+#: Hosts that a part of a block sweeps about; a block has as many parts as all hosts fill, each with the block's rules.
+PART = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -51,17 +51,18 @@ def rule_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str]] = RULE
     return spark.createDataFrame(list(rules), "verdict string, host string, path string")
 
 
-def active_rules(hosts: DataFrame, rules: DataFrame, spread: int = SPREAD) -> DataFrame:
+def active_rules(hosts: DataFrame, rules: DataFrame, spread: int | None = None) -> DataFrame:
     """(host, stack): for each distinct host the rule hosts that hold it, an array of (path, rule, verdict) each.
 
     hosts: a column `host`. The depth of the stack is the largest number of labels of a rule host, which names limit.
     """
+    keyed = materialize(hosts.select("host").distinct().withColumn("key", key_of(F.col("host"))), "hosts")
+    spread = spread or keyed.count() // PART + 1
     by_host = rules.groupBy("host").agg(F.collect_list(F.struct("path", F.concat("host", "path").alias("rule"), "verdict")).alias("paths"))
     starts = by_host.select(key_of(F.col("host")).alias("key"), F.size(F.split("host", r"\.")).alias("depth"), "paths")
     depth = starts.agg(F.max("depth")).first()[0] or 0
     first_label = F.substring_index("key", ".", 1)
     starts = starts.select("key", first_label.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"), "depth", "paths", F.lit(None).cast("string").alias("host"))
-    keyed = hosts.select("host").distinct().withColumn("key", key_of(F.col("host")))
     points = keyed.select("key", first_label.alias("block"), F.pmod(F.xxhash64("host"), F.lit(spread)).cast("int").alias("part"), F.lit(0).alias("depth"), F.lit(None).cast(starts.schema["paths"].dataType).alias("paths"), "host")
     # A rule stands before a host of the same key.
     sweep = Window.partitionBy("block", "part").orderBy("key", F.col("depth") == 0).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,7 +72,7 @@ def active_rules(hosts: DataFrame, rules: DataFrame, spread: int = SPREAD) -> Da
     return swept.select("host", F.filter(F.array(*still), lambda p: p.isNotNull()).alias("stack")) if still else swept.select("host", F.expr("cast(array() as array<array<struct<path:string,rule:string,verdict:string>>>)").alias("stack"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", spread: int = SPREAD) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", spread: int | None = None) -> DataFrame:
     """`pages` with host, path, rule and verdict.
 
     The longest rule that fits wins: the one with most characters of host and path. Without one, rule is null and the

@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from folioforge.llm import quality
 
@@ -23,6 +24,15 @@ def test_measures_equal_brute_force(spark):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), repeated(w))
 
 
+def test_windows_of_one_hash_are_compared(spark, monkeypatch):
+    """With 14 bits of hash other windows share one in most texts, and the counts stay exact."""
+    monkeypatch.setattr(quality, "_mask", lambda words: F.lit(-(1 << 50)).cast("bigint"))
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abcdefg") + rnd.choice(["", "h"]) for _ in range(300)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang")
+    assert {r["doc_id"]: r["n_repeat_words"] for r in quality.judge(docs).collect()} == {i: repeated(t.split()) for i, t in enumerate(texts)}
+
+
 def test_verdicts_equal_sql(spark, tmp_path):
     rnd = random.Random(4)
     common = quality.COMMON["en"]
@@ -40,8 +50,6 @@ def test_verdicts_equal_sql(spark, tmp_path):
 
 
 def test_divergence(spark):
-    from pyspark.sql import functions as F
-
     d = lambda a, b: spark.range(1).select(quality.divergence(F.array(*map(F.lit, a)), F.array(*map(F.lit, b)))).first()[0]
     assert d([1.0, 0.0], [0.0, 5.0]) == 1.0 and d([1.0, 2.0], [2.0, 4.0]) == 0.0 and d([0.0], [1.0]) is None
     assert math.isclose(d([1.0, 0.0], [1.0, 1.0]), math.sqrt(0.75 * math.log2(4 / 3) * 0 + (math.log2(4 / 3) + 0.5 * math.log2(2 / 3) + 0.5) / 2))

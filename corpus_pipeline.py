@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup by word shingles, benchmark decontamination, BPE coding.
+"""The corpus pipeline: quality rules, line dedup, SimHash near-dedup, benchmark decontamination, BPE coding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of `documents`.
@@ -24,7 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of similarity 0.8 in five-word shingles join stays: the one with the least id."""
+    """One document of each group stays, the one with the least id: SimHash candidates, confirmed at similarity 0.8 of five-word shingles."""
     return similar.one_of_each(docs)
 
 

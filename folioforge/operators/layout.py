@@ -71,14 +71,28 @@ def cluster_lines(words: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
     return words.groupBy(*page).applyInPandas(run, schema)
 
 
-def deduplicated(chars: DataFrame, dx: float = 1.2, dy: float = 1.2, page: Sequence[str] = PAGE) -> DataFrame:
-    """Glyphs without those that repeat one of the same text within dx and dy, as a double-printed layer does.
-
-    A glyph is compared with the one before it in runs that are sorted by x; runs of one text in one row are short.
+def _single(rows: pd.DataFrame, dx: float, dy: float) -> pd.DataFrame:
+    """One page's glyphs without twins of kept ones, which lie at most dx to the left and dy above or below."""
+    rows = rows.sort_values(["x0", "top"], kind="stable")
+    kept: dict[str, list[tuple[float, float]]] = {}
+    stays = []
+    for text, x, top in zip(rows["text"], rows["x0"], rows["top"]):
+        near = kept.setdefault(text, [])
+        while near and x - near[0][0] > dx:
+            near.pop(0)
+        twin = any(abs(top - t) <= dy for _, t in near)
+        stays.append(not twin)
+        if not twin:
+            near.append((x, top))
+    return rows[stays]
+
+
+def deduplicated(chars: DataFrame, dx: float = 1.2, dy: float = 3.0, page: Sequence[str] = PAGE) -> DataFrame:
+    """Glyphs without those that repeat a kept one of the same text within dx and dy, as a double-printed layer does.
+
+    Which glyph is kept depends on those kept before it, so a page is gone through in order of x: one task for each page.
     """
-    w = Window.partitionBy(*page, "text", F.round(F.col("top") / (2 * dy))).orderBy("x0", "seq")
-    near = (F.col("x0") - F.lag("x0").over(w) < dx) & (F.abs(F.col("top") - F.lag("top").over(w)) < dy)
-    return chars.withColumn("_near", F.coalesce(near, F.lit(False))).where(~F.col("_near")).drop("_near")
+    return chars.groupBy(*page).applyInPandas(lambda rows: _single(rows, dx, dy), chars.schema)
 
 
 def in_column(chars: DataFrame, low: float, high: float) -> DataFrame:

@@ -100,8 +100,8 @@ def card_addresses(spark, sf_dir) -> DataFrame:
 
 def anchor_toc(spark, sf_dir) -> DataFrame:
     """Every tenth line's head as an entry of a table of contents, with a wrong page now and then."""
-    row = lines(spark, sf_dir).select(F.col("doc_id").alias("book_id"), F.floor(F.col("i") / 10).cast("int").alias("page"), F.col("i").alias("line_no"), F.substring("line", 1, 60).alias("line"))
-    entries = row.where("line_no % 10 = 3").select("book_id", F.col("line_no").alias("entry"), F.upper(F.substring("line", 1, 30)).alias("title"), (F.col("page") + F.when(F.col("line_no") % 20 == 3, 1).otherwise(0)).alias("page"))
+    row = lines(spark, sf_dir).select(F.col("doc_id").alias("book_id"), F.floor(F.col("i") / 10).cast("int").alias("page"), F.col("i").alias("line_no"), "line")
+    entries = row.where("line_no % 10 = 3").select("book_id", F.col("line_no").alias("entry"), F.upper("line").alias("title"), (F.col("page") + F.when(F.col("line_no") % 20 == 3, 1).otherwise(0)).alias("page"))
     return hierarchy.anchored(entries, row).select("book_id", "entry", "line_no", "ratio")
 
 
@@ -177,7 +177,7 @@ QUERIES = {
     "split_restarts": _fold(folds.restarts_split, "part int"),
     "reflow_text": reflow_text,
     "join_hyphens": text_udf(P.join_hyphens),
-    "slugs": text_udf(lambda c: P.slug(F.substring(c, 1, 80))),
+    "slugs": text_udf(P.slug),
     "signed_refs": lambda s, d: read(s, d, "documents").select("doc_id", P.universal_ref("example.org", b"key", F.col("doc_id").cast("string")).alias("ref")),
     "number_lists": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.number_list(F.concat(F.col("doc_id").cast("string"), F.lit("-"), (F.col("doc_id") + 3).cast("string"), F.lit(", 1"))), ",").alias("numbers")),
     "roman_numbers": lambda s, d: read(s, d, "orders").select("o_orderkey", T.roman(F.try_element_at(F.array(*[F.lit(x) for x in ("IV", "XLII", "MCMXC", "abc")]), (F.col("o_orderkey") % 4 + 1).cast("int"))).alias("n")),

@@ -159,10 +159,6 @@ def text_of(column, **names):
     return lambda s, d: read(s, d, "documents").select("doc_id", column(F.col("text")).alias("text"))
 
 
-def head(c):
-    return F.substring(c, 1, 300)
-
-
 def address(c):
     return F.concat(F.lit("Art. "), F.char_length(c).cast("string"), F.lit(" a"))
 
@@ -226,11 +222,11 @@ QUERIES = {
     "detab": text_of(T.detab),
     "expand_ligatures": text_of(lambda c: T.expand_ligatures(F.replace(c, F.lit("fi"), F.lit("ﬁ")))),
     "clean_characters": text_of(lambda c: T.clean_characters(F.translate(c, "\n", "\x02"))),
-    "normal_key": text_of(lambda c: T.normal_key(head(c))),
+    "normal_key": text_of(lambda c: T.normal_key(c)),
     "pad_numbers": text_of(lambda c: T.pad_number(address(c), 6)),
     "normalize_address": text_of(lambda c: T.tidy_article(F.concat(F.lit("X. –"), F.char_length(c).cast("string")))),
     "repair_article_numbers": text_of(lambda c: T.repair_article_number(F.translate(F.char_length(c).cast("string"), "015", "OlS"))),
-    "running_head": text_of(lambda c: T.without_page_number(F.concat_ws(" ", F.char_length(c).cast("string"), head(F.split(c, "\n")[0])))),
+    "running_head": text_of(lambda c: T.without_page_number(F.concat_ws(" ", F.char_length(c).cast("string"), F.split(c, "\n")[0]))),
     "statutory_refs": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.find_all(F.col("text"), STATUTES), "|").alias("refs")),
 }
 
@@ -303,9 +299,9 @@ SELECT user_id, page, CASE WHEN folio IS NOT NULL THEN folio ELSE page + coalesc
     "detab": _text(r"trim(regexp_replace(text, '[\t\x{00A0}\x{202F} ]+', ' ', 'g'), ' ')"),
     "expand_ligatures": _text("text"),
     "clean_characters": _text("replace(text, chr(10), '')"),
-    "normal_key": _text(r"regexp_replace(lower(text[1:300]), '[^\p{L}\p{N}]+', '', 'g')"),
+    "normal_key": _text(r"regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g')"),
     "pad_numbers": _text("'Art. ' || lpad(length(text)::VARCHAR, greatest(6, length(length(text)::VARCHAR))::INT, '0') || ' a'"),
     "normalize_address": _text("'X.–' || length(text)"),
     "repair_article_numbers": _text("CASE WHEN length(length(text)::VARCHAR) = 3 THEN length(text)::VARCHAR ELSE translate(length(text)::VARCHAR, '015', 'OlS') END"),
-    "running_head": _text(r"trim(regexp_replace(length(text) || ' ' || string_split(text, chr(10))[1][1:300], '^\s*\d{1,4}\s+|\s+\d{1,4}\s*$', '', 'g'), ' ')"),
+    "running_head": _text(r"trim(regexp_replace(length(text) || ' ' || string_split(text, chr(10))[1], '^\s*\d{1,4}\s+|\s+\d{1,4}\s*$', '', 'g'), ' ')"),
 }

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that the cluster names; one of our own only where it names none."""
+    """A new path in the shared folder that the cluster names; one of our own only where a local master names none."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = f"file://{tempfile.mkdtemp(prefix='folioforge-')}"
         spark.conf.set("spark.checkpoint.dir", place)
     return f"{place.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -39,6 +39,7 @@ def test_text_functions(spark):
 def test_python_functions(spark):
     assert one(spark, P.slug(F.lit("Über Ähre & Öl"))) == "uber-ahre-ol"
     assert one(spark, P.join_hyphens(F.lit("Rechts-\nordnung Vor-\nund"))) == "Rechtsordnung Vor-\nund"
+    assert one(spark, P.join_hyphens(F.lit("BGB-\nRGRK WESTER-\nMANN Rechts-\nStatt a-\nb-\nc --\nd"))) == "BGB-\nRGRK WESTERMANN Rechts-\nStatt ab-\nc --\nd"
     sign = one(spark, P.signature(b"k", F.lit("a")))
     assert len(sign) == 24 and one(spark, P.verified(b"k", F.lit("a"), F.lit(sign))) and not one(spark, P.verified(b"k", F.lit("b"), F.lit(sign)))
     words = [f"w{i}" for i in range(60)]
@@ -143,6 +144,9 @@ def test_layout(spark):
     assert layout.nearest_line(marks, lines).first()["line_no"] == 1
     twin = frame(spark, [("b", 0, 0, "a", 10.0, 5.0), ("b", 0, 1, "a", 10.5, 5.2), ("b", 0, 2, "a", 14.0, 5.0)], "book_id string, page_seq int, seq int, text string, x0 double, top double")
     assert [r["seq"] for r in layout.deduplicated(twin).orderBy("seq").collect()] == [0, 2]
+    # A glyph is a twin of a kept one only; the bounds count as within.
+    chain = frame(spark, [("b", 0, 0, "a", 10.0, 5.0), ("b", 0, 1, "a", 11.0, 5.0), ("b", 0, 2, "a", 12.0, 5.0), ("b", 0, 3, "b", 10.0, 5.0), ("b", 0, 4, "b", 11.25, 8.0), ("b", 0, 5, "b", 11.0, 8.0), ("b", 1, 6, "a", 10.0, 5.0)], "book_id string, page_seq int, seq int, text string, x0 double, top double")
+    assert [r["seq"] for r in layout.deduplicated(chain).orderBy("seq").collect()] == [0, 2, 3, 4, 6]
     chars = frame(spark, [("b", "F", "a", 0.0, 5.0, 10.0), ("b", "F", "a", 0.0, 7.0, 10.0), ("b", "G", "a", 0.0, 7.0, 10.0)], "book_id string, fontname string, text string, x0 double, x1 double, size double")
     assert sorted(r["text"] for r in layout.case_repaired(chars).collect()) == ["A", "a", "a"]
     two = frame(spark, [("b", 0, t, x, x + 30.0, y, y + 10.0, 10.0) for t, x, y in [("L1", 10.0, 20.0), ("R1", 110.0, 20.0), ("L2", 10.0, 40.0), ("R2", 110.0, 40.0)]] + [("b", 0, "Head", 60.0, 140.0, 0.0, 10.0, 10.0)], w.schema)
@@ -214,3 +218,15 @@ def test_statutory_refs_reads_whole_texts_and_all_patterns(spark, tmp_path):
     frame(spark, texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["refs"] for r in corpus.QUERIES["statutory_refs"](spark, str(tmp_path)).collect()}
     assert got == {1: "section 12|Nation|section|station|the Nation|the station", 2: None, 3: ""}
+
+
+def test_readings_of_misread_numbers():
+    assert folds.readings("B") == [3, 8] and folds.readings("1G") == [15, 16] and folds.readings("D?7") == [7]
+    assert folds.read_number("1B", 13) == (13, "repaired") and folds.read_number("1B", 99) == (13, "guessed")
+    assert folds.read_number("42", 41) == (42, "read") and folds.read_number("xyw", 3) == (None, "unreadable")
+
+
+def test_swallowed_cards_leave_their_notes():
+    host, row = {"text": "a", "footnotes": None, "page_end": 3}, {"text": "b", "footnotes": [1, 2], "cross_refs": [], "page_end": 4}
+    folds._into(host, row, "\n")
+    assert host == {"text": "a\nb", "footnotes": [1, 2], "page_end": 4}

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import materialize, own, table
 
 #: Words from which on a line is compared at all, and from which on with one edit.
-LEAST, FUZZY = 3, 8
+LEAST, FUZZY = 1, 8
+#: Words from which on `dedup` takes a line out: headings and answers of a word or two recur without being copies.
+OUT_LEAST = 3
 #: Hashes of lines that are sent to all tasks at most, 8 bytes and two flags each.
 SENT = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
@@ -135,12 +137,12 @@ def repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     return found.where(equal | close).select("k1", "k2", "place.doc_id", "place.line_no", F.when(equal, "equal").otherwise("near").alias("reason"), F.when(equal, F.col("first")).otherwise(F.col("near")).alias("earlier"))
 
 
-def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", **bounds: int) -> DataFrame:
-    """`documents` with the repeated lines taken out of the text, with their columns.
+def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = OUT_LEAST, fuzzy: int = FUZZY) -> DataFrame:
+    """`documents` with the repeated lines of `least` words or more taken out of the text, with their columns.
 
     A document that loses every line with a word goes; one that had none stays. A column `n_chars` is counted anew.
     """
-    gone = repeats(documents, text, doc_id, **bounds).groupBy("k1", "k2").agg(F.collect_set("line_no").alias(own("gone")))
+    gone = repeats(documents, text, doc_id, least, fuzzy).groupBy("k1", "k2").agg(F.collect_set("line_no").alias(own("gone")))
     keyed = documents.withColumns({own(k): c for k, c in zip(("k1", "k2"), _key_of_row(doc_id, text))})
     joined = keyed.join(gone, (F.col(own("k1")) == gone["k1"]) & (F.col(own("k2")) == gone["k2"]), "left")
     lines = F.split(text, "\n")
@@ -155,7 +157,7 @@ def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", **bo
 
 
 def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query op10_lines: every line of `documents` that repeats an earlier one."""
+    """Query op10_lines: every line of `documents` with a word that repeats an earlier one."""
     found = repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "line_no", "reason", F.col("earlier.doc_id").alias("earlier_doc_id"), F.col("earlier.line_no").alias("earlier_line_no"))
 

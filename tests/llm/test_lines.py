@@ -8,7 +8,7 @@ from folioforge.llm import lines
 
 def corpus():
     rnd = random.Random(5)
-    base = [" ".join(rnd.choice("abcde") for _ in range(rnd.randint(2, 11))) for _ in range(40)]
+    base = [" ".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 11))) for _ in range(40)]
 
     def changed(line):
         w, k = line.split(), rnd.random()
@@ -37,7 +37,7 @@ def test_repeats_equal_sql_and_leave_the_text(spark, tmp_path):
         gone.setdefault(d, set()).add(n)
     left = {i: t if i not in gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in corpus()}
     left = {i: t for i, t in left.items() if i not in gone or t.strip()}
-    out = lines.dedup(docs.withColumn("n_chars", F.lit(0))).collect()
+    out = lines.dedup(docs.withColumn("n_chars", F.lit(0)), least=1).collect()
     assert {r["doc_id"]: r["text"] for r in out} == left
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out)
 
@@ -47,3 +47,10 @@ def test_messy(messy, nothing):
     # The null id comes first: both rows of id 1 lose the line, and with it their text; 6 repeats 5.
     assert sorted(map(str, (r["doc_id"] for r in out.collect()))) == ["1", "2", "3", "4", "5", "7", "None", "None"]
     assert out.columns == messy.columns and lines.dedup(nothing).count() == 0
+
+
+def test_short_lines_are_reported_and_kept(spark):
+    docs = spark.createDataFrame([(1, "Yes\nSee below\none two three"), (2, " Yes \nSee  below\none two three"), (3, "\n \n")], "doc_id long, text string")
+    found = sorted((r["doc_id"], r["line_no"], r["reason"], r["earlier"]["doc_id"]) for r in lines.repeats(docs).collect())
+    assert found == [(2, 0, "equal", 1), (2, 1, "equal", 1), (2, 2, "equal", 1)]
+    assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == {1: "Yes\nSee below\none two three", 2: " Yes \nSee  below", 3: "\n \n"}

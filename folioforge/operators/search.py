@@ -97,7 +97,9 @@ def details(page: DataFrame, chunks: DataFrame, sources: DataFrame, footnotes: D
     """The page's chunks with source title and footnotes; ids that no longer exist are skipped. The page is at most 100 rows."""
     hits = F.broadcast(page)
     mine = footnotes.join(F.broadcast(page.select(F.col("id").alias("chunk_id"))), "chunk_id", "left_semi")
-    found = chunks.join(hits, "id").join(F.broadcast(sources.select(F.col("id").alias("source_id"), "title")), "source_id")
+    kept = chunks.join(hits, "id")
+    titled = sources.select(F.col("id").alias("source_id"), "title").join(F.broadcast(kept), "source_id")
+    found = titled.select("source_id", *[c for c in kept.columns if c != "source_id"], "title")
     return found.join(nested_footnotes(mine), found["id"] == F.col("chunk_id"), "left").drop("chunk_id").withColumn("footnotes", F.coalesce("footnotes", F.array().cast("array<struct<number:bigint,text:string>>")))
 
 

@@ -24,12 +24,20 @@ def sessions(events: DataFrame, late: str = "1 hour", gap: str = "30 minutes") -
 
 
 def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """The stream run over all that is there, into a table of the session's warehouse or memory; for finite replays."""
-    spark = stream.sparkSession
-    name = f"drained_{scratch(spark, 'q').rsplit('-', 1)[1]}"
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start()
+    """The stream run over all that is there, into a Parquet table in the shared folder; for finite replays.
+
+    Each batch has its own folder, so one that runs again replaces its own rows. In complete mode there is one folder for
+    all, since the last batch is the result.
+    """
+    spark, schema, place = stream.sparkSession, stream.schema, scratch(stream.sparkSession, "drained")
+    spark.createDataFrame([], schema).write.parquet(f"{place}/none")
+
+    def batch(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{place}/{'all' if mode == 'complete' else f'batch-{number}'}")
+
+    query = stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(schema).parquet(f"{place}/*")
 
 
 def upserting(stream: DataFrame, target: str, key: Sequence[str], order: str):

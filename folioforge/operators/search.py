@@ -29,18 +29,21 @@ def _ranked(df: DataFrame, name: str) -> DataFrame:
 
 
 def lexical_topk(chunks: DataFrame, query: str, k: int = CANDIDATES) -> DataFrame:
-    """(id, score): chunks that hold every term, by the sum of tf / (1 + tf), ties by id."""
+    """(id, score): chunks that hold every term, by the sum of tf / (1 + tf), ties by id.
+
+    A term is counted in the text where no letter or digit stands beside it, so as often as it's a token. Only texts that
+    hold every term somewhere, if inside other words, are counted.
+    """
     terms = query_terms(query)
-    found = chunks.select("id", tokens(F.col("text")).alias("tokens"))
+    low = F.lower(F.col("text"))
+    counts = [F.regexp_count(low, F.lit(rf"(?<![\p{{L}}\p{{N}}]){t}(?![\p{{L}}\p{{N}}])")) for t in terms]
+    found = chunks.where(F.lit(bool(terms)))
     for t in terms:
-        found = found.where(F.array_contains("tokens", t))
-    counts = [F.size(F.filter("tokens", _is(t))).cast("double") for t in terms]
-    score = sum((c / (1 + c) for c in counts), F.lit(0.0))
-    return found.where(F.lit(bool(terms))).select("id", F.round(score, 8).alias("score")).orderBy(F.desc("score"), "id").limit(k)
-
-
-def _is(term: str):
-    return lambda t: t == term
+        found = found.where(F.contains(low, F.lit(t)))
+    for c in counts:
+        found = found.where(c > 0)
+    score = sum((c.cast("double") / (1 + c) for c in counts), F.lit(0.0))
+    return found.select("id", F.round(score, 8).alias("score")).orderBy(F.desc("score"), "id").limit(k)
 
 
 def dot(a: Column, b: Column) -> Column:

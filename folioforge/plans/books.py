@@ -124,7 +124,7 @@ def _stream(spark, sf_dir) -> DataFrame:
     """The events as a folder of files, replayed."""
     table = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     path = files.scratch(spark, "events")
-    table.repartition(4).write.parquet(path)
+    table.repartition(8).write.parquet(path)
     return stream.replay(spark, path, table, 4)
 
 
@@ -142,7 +142,7 @@ def stream_upsert(spark, sf_dir) -> DataFrame:
     target = files.scratch(spark, "state")
     rows = _stream(spark, sf_dir).select("user_id", "event_id", "event_type")
     stream.upserting(rows, target, ["user_id"], "event_id").start().awaitTermination()
-    return spark.read.parquet(f"{target}/v0").select("user_id", "event_id", "event_type")
+    return stream.newest(spark, target).select("user_id", "event_id", "event_type")
 
 
 def text_udf(f):

@@ -43,8 +43,8 @@ def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
 def upserting(stream: DataFrame, target: str, key: Sequence[str], order: str):
     """A stream into a keyed table at `target`, one version for each batch: running a batch again changes nothing.
 
-    The row of a key that is last by `order` wins, whatever batch brings it. A reader takes the newest version; the older
-    ones can be removed.
+    The row of a key that is last by `order` wins, whatever batch brings it. A reader takes the `newest` version; the
+    older ones can be removed.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
@@ -54,3 +54,11 @@ def upserting(stream: DataFrame, target: str, key: Sequence[str], order: str):
         last.write.mode("overwrite").parquet(f"{target}/v{number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{target}/_checkpoint").trigger(availableNow=True)
+
+
+def newest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest whole version of a table that `upserting` keeps."""
+    versions = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/v*/_SUCCESS")
+    found = versions.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(versions)
+    number = max(int(f.getPath().getParent().getName()[1:]) for f in found)
+    return spark.read.parquet(f"{target}/v{number}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import bpe, decontaminate, html, lines, passages, quality, secrets, sharding, simhash, urlfilter
+from folioforge.llm import bpe, decontaminate, html, lines, passages, quality, resampling, secrets, sharding, simhash, urlfilter
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_simhash": simhash.digest,
     "op9_passages": passages.digest,
     "op10_lines": lines.digest,
+    "op11_resampling": resampling.digest,
     "pipeline": pipeline,
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import bpe, conversations, decontaminate, html, lines, passages, quality, resampling, secrets, sharding, simhash, urlfilter
+from folioforge.llm import bpe, conversations, decontaminate, html, jaccard, lines, passages, quality, resampling, secrets, sharding, simhash, urlfilter
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ QUERIES = {
     "op9_passages": passages.digest,
     "op10_lines": lines.digest,
     "op11_resampling": resampling.digest,
+    "op12_jaccard": jaccard.digest,
     "op13_conversations": conversations.digest,
     "pipeline": pipeline,
 }

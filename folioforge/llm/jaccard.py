@@ -10,9 +10,10 @@ Allocation goes by cost. Small sets give two units to every segment, since few a
 them; larger ones give one. A segment's cost is the number of sets that share its subset: empty segments get no unit while
 the others suffice, and a set takes away units from the segments with the most sharers, as long as H + 1 remain.
 
-Sets that share subsets are first compared with one leader of each subset, the one that they share most with, and what is
-linked becomes one component. Then every remaining pair across components is compared, on the whole sets. A link inside a
-component changes nothing, so large groups of near copies cost a link each and no link is lost.
+Sets that share subsets are first compared with a leader: every subset draws one of its sets, and a set meets the one that
+it shares most with. What is linked becomes one component, and further rounds draw anew among the components. Then every
+remaining pair across components is compared, on the whole sets. A link inside a component changes nothing, so large groups
+of near copies cost a link each and no link is lost.
 """
 
 from __future__ import annotations
@@ -32,10 +33,10 @@ from folioforge.llm.similar import shingles
 SHINGLE, PERCENT = 5, 80
 #: Sets up to this size give every segment two units.
 SMALL = 64
-#: Rounds of comparisons with leaders.
-ROUNDS = 2
-#: Counters of a sketch.
-SKETCH = 64
+#: Most rounds of comparisons with leaders.
+ROUNDS = 5
+#: Counters of a sketch, and the sets of a subset that a task compares with each other at once.
+SKETCH, BLOCK = 256, 1000
 FULL, DELETED, PROBES = 0, 1, 2
 
 
@@ -174,7 +175,7 @@ def _sets(text: Column, shingle: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             sets = [token_set(t.as_py() or b"", shingle) for t in texts.cast(pa.binary())]
-            sketches = [np.bincount((_mix(s, 5) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32).tobytes() for s in sets]
+            sketches = [np.bincount((_mix(s, 5) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).clip(max=65535).astype(np.uint16).tobytes() for s in sets]
             yield pa.StructArray.from_arrays([pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())], ["tokens", "sketch"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -200,7 +201,7 @@ def _near(percent: int):
     """A sketch can only lessen the difference of two sets, so what it sets apart is no link."""
 
     def judge(a: pa.Buffer, b: pa.Buffer) -> bool:
-        x, y = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
+        x, y = np.frombuffer(a, np.uint16).astype(np.int32), np.frombuffer(b, np.uint16).astype(np.int32)
         return bool(np.abs(x - y).sum() <= most_apart(int(x.sum()), int(y.sum()), percent))
 
     return judge
@@ -231,29 +232,59 @@ def _with_components(shared: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.withColumns({"_least": F.min("root").over(w), "_most": F.max("root").over(w)}).where("_least <> _most").drop("_least", "_most")
 
 
+def _met(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(u, v): sets of different components that share a subset, one of which seeks the other, and whose sketches are near.
+
+    A subset that very many sets share is gone through by pairs of its blocks; only what passes leaves the task.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        node, size, root, deleted = (group.column(c).to_numpy() for c in ("node", "size", "root", "deleted"))
+        seeks, own = (group.column(c).to_numpy(zero_copy_only=False) for c in ("seeks", "own"))
+        cross = len(np.unique(own)) > 1  # two blocks; a block meets itself elsewhere
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.int32)
+        out: list = []
+        for i in np.flatnonzero(seeks):
+            fits = (root != root[i]) & (size <= size[i]) & (100 * size >= percent * size[i]) & ((size < size[i]) | (node != node[i])) & (deleted + deleted[i] < 2)
+            other = np.flatnonzero(fits & (own != own[i]) if cross else fits)
+            near = np.abs(sketch[other] - sketch[i]).sum(axis=1) <= (size[other] + size[i]) * (100 - percent) // (100 + percent)
+            out += [(node[i], v) for v in node[other[near]]]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    blocks = F.ceil(F.count("*").over(Window.partitionBy("key")) / block).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", F.col("size").cast("long").alias("size"), "root", (F.col("role") % 2).cast("long").alias("deleted"), "seeks", "sketch")
+    return dealt.groupBy("key", "a", "b").applyInArrow(run, "u long, v long")
+
+
 def links(texts: DataFrame, needed_texts, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Edges (u, v) that join the same sets as all links do. texts: one column; needed_texts: nodes -> (node, text)."""
     w = Window.partitionBy("key")
-    signed = _signed(texts, shingle, percent).withColumns({"_least": F.min("node").over(w), "_most": F.max("node").over(w)}).where("_least <> _most").drop("_least", "_most")
-    shared = materialize(signed.distinct(), "shared")
-    nodes = shared.select("node").distinct()
+    most = {"_least": F.min("node").over(w), "_most": F.max("node").over(w), "_sought": F.max("role").over(w), "cost": F.count("*").over(w)}
+    signed = _signed(texts, shingle, percent).withColumns(most).where((F.col("_least") != F.col("_most")) & (F.col("_sought") >= PROBES))
+    shared = materialize(signed.select("key", "node", "size", "role", "spare", "cost").distinct(), "shared")
+    # A set takes units away from the subsets that most others share; what nobody looks up any more needs no comparison.
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("cost"), "key"))
+    probes = shared.where(F.col("role") >= PROBES).withColumn("rank", rank).where(F.col("rank") > F.col("spare")).select("key", F.col("node").alias("x")).distinct()
+    kept = shared.join(probes.groupBy("key").agg(F.count("*").alias("n")), "key")
+    seeks = shared.select("key", "node").join(probes, (shared["key"] == probes["key"]) & (shared["node"] == probes["x"]), "left_semi").withColumn("seeks", F.lit(True)).distinct()
+    alive = materialize(kept.drop("n", "cost", "spare").join(seeks, ["key", "node"], "left").withColumn("seeks", F.coalesce("seeks", F.lit(False)) & (F.col("role") >= PROBES)), "alive")
+    nodes = alive.select("node").distinct()
     sets = materialize(needed_texts(nodes).select("node", _sets(F.col("text"), shingle).alias("s")).select("node", "s.*"), "sets")
     edges = materialize(shared.sparkSession.createDataFrame([], "u long, v long"), "none")
-    for _ in range(ROUNDS):
-        rows = _with_components(shared, edges)
-        leader = rows.groupBy("key").agg(F.min(F.struct("root", "node", "size")).alias("leader")).select("key", F.col("leader.root").alias("led"), F.col("leader.node").alias("leader"), F.col("leader.size").alias("of_size"))
+    for turn in range(ROUNDS):
+        rows = _with_components(alive, edges)
+        leader = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node", F.lit(turn)), "root", "node", "size")).alias("leader")).select("key", F.col("leader.root").alias("led"), F.col("leader.node").alias("leader"), F.col("leader.size").alias("of_size"))
         met = rows.join(leader, "key").where((F.col("root") != F.col("led")) & _fits("size", "of_size", percent))
-        most = met.groupBy("node", "leader").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best"))
-        edges = edges.unionByName(_verified(most.select(F.col("node").alias("u"), F.col("best.leader").alias("v")), sets, percent))
-    # A set takes units away from the subsets that most others share.
-    cost = F.count("*").over(w)
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("cost"), "key"))
-    probes = shared.withColumn("cost", cost).where((F.col("role") >= PROBES)).withColumn("rank", rank).where(F.col("rank") > F.col("spare")).select("key", F.col("node").alias("x"))
-    rows = materialize(_with_components(shared, edges), "apart")
-    seekers = rows.where(F.col("role") >= PROBES).join(probes, (rows["key"] == probes["key"]) & (rows["node"] == probes["x"]), "left_semi").select("key", F.col("node").alias("u"), F.col("size").alias("size_u"), F.col("root").alias("root_u"), (F.col("role") % 2).alias("role_u"))
-    held = rows.select("key", F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("root").alias("root_v"), (F.col("role") % 2).alias("role_v"))
-    ordered = (F.col("size_u") > F.col("size_v")) | ((F.col("size_u") == F.col("size_v")) & (F.col("u") != F.col("v")))
-    pairs = seekers.join(held, "key").where((F.col("root_u") != F.col("root_v")) & ordered & _fits("size_u", "size_v", percent) & (F.col("role_u") + F.col("role_v") < 2))
+        best = met.groupBy("node", "leader").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best"))
+        new = _verified(best.select(F.col("node").alias("u"), F.col("best.leader").alias("v")), sets, percent)
+        if new.isEmpty():
+            break
+        edges = edges.unionByName(new)
+    rows = materialize(_with_components(alive, edges), "apart")
+    pairs = _met(rows.join(sets.select("node", "sketch"), "node"), percent)
     pairs = materialize(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "pairs")
     return edges.unionByName(_verified(pairs, sets, percent))
 

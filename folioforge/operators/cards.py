@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.functions.python import reflowed
 from folioforge.operators.sequence import occurrence
 
 #: The fields of the upload projection.
@@ -103,20 +104,20 @@ def ranges_covered(cards: DataFrame, book: Sequence[str], low: str = "low", high
     return each.join(single, [*book, "_n"], "left").groupBy(*book, low, high).agg(F.count("*").alias("_all"), F.count("_there").alias("_have")).where("_all = _have").drop("_all", "_have")
 
 
-def reflowed(text: Column, suspended: Sequence[str] = ("und", "oder", "bis", "sowie", "and", "or", "et", "ou", "en", "of")) -> Column:
-    """Printed lines joined to running text: soft hyphens and hyphens at line ends join words (but not before a conjunction
-    of a suspended compound), other line ends become spaces; a blank line ends a paragraph."""
-    words = "|".join(suspended)
-    text = F.regexp_replace(text, "­\\n?", "")
-    text = F.regexp_replace(text, rf"(?<=\p{{L}})-\n(?!(?:{words})\b)(?=\p{{Ll}})", "")
-    text = F.regexp_replace(text, rf"(?<=\p{{L}})-\n(?=(?:{words})\b)", "- ")
-    return F.regexp_replace(F.regexp_replace(text, r"(?<!\n)\n(?!\n)", " "), r"\n{2,}", "\n\n")
+def reflow(cards: DataFrame, text: str = "text", lang: str = "en", again: bool = False) -> DataFrame:
+    """Cards with running text, also in `hierarchy` and the texts of `footnotes` where a card table has them.
 
-
-def reflow(cards: DataFrame, text: str = "text") -> DataFrame:
-    """Cards with running text; those marked text_reflowed stay as they are, since a second run would change them."""
-    done = F.coalesce(F.col("text_reflowed"), F.lit(False)) if "text_reflowed" in cards.columns else F.lit(False)
-    return cards.withColumns({text: F.when(done, F.col(text)).otherwise(reflowed(F.col(text))), "text_reflowed": F.lit(True)})
+    Cards marked text_reflowed stay as they are, since a second run would join paragraphs; `again` takes them too.
+    """
+    done = F.coalesce(F.col("text_reflowed"), F.lit(False)) if "text_reflowed" in cards.columns and not again else F.lit(False)
+    edit = reflowed(lang)
+    out = {text: F.when(done, F.col(text)).otherwise(edit(F.col(text))), "text_reflowed": F.lit(True)}
+    if "hierarchy" in cards.columns:
+        out["hierarchy"] = F.when(done, F.col("hierarchy")).otherwise(reflowed(lang, many=True)(F.col("hierarchy")))
+    if "footnotes" in cards.columns:
+        texts = reflowed(lang, many=True)(F.transform("footnotes", lambda n: n["text"]))
+        out["footnotes"] = F.when(done | F.col("footnotes").isNull(), F.col("footnotes")).otherwise(F.zip_with("footnotes", texts, lambda n, t: n.withField("text", t)))
+    return cards.withColumns(out)
 
 
 def unpaginated(cards: DataFrame) -> DataFrame:

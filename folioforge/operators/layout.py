@@ -42,8 +42,8 @@ class _Row:
         self.box(word)
 
 
-def lines_of_words(words: list[dict]) -> list[dict]:
-    """Lines from top to bottom, each with its words from left to right."""
+def rows_of(words: list[dict]) -> list[_Row]:
+    """The lines that words or glyphs stand in, from top to bottom."""
     rows: list[_Row] = []
     for word in sorted(words, key=lambda w: (w["top"], w["x0"])):
         for row in reversed(rows[-LOOK_BACK:]):
@@ -52,8 +52,13 @@ def lines_of_words(words: list[dict]) -> list[dict]:
                 break
         else:
             rows.append(_Row(word))
+    return sorted(rows, key=lambda r: (r.top, min(w["x0"] for w in r.words)))
+
+
+def lines_of_words(words: list[dict]) -> list[dict]:
+    """Lines from top to bottom, each with its words from left to right."""
     out = []
-    for row in sorted(rows, key=lambda r: (r.top, min(w["x0"] for w in r.words))):
+    for row in rows_of(words):
         some = sorted(row.words, key=lambda w: w["x0"])
         sizes = sorted(w["size"] for w in some)
         out.append({"text": " ".join(w["text"] for w in some), "x0": some[0]["x0"], "x1": max(w["x1"] for w in some), "top": row.top, "bottom": row.bottom, "size": (sizes[(len(sizes) - 1) // 2] + sizes[len(sizes) // 2]) / 2})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import python as P
 from folioforge.functions import text as T
 from folioforge.operators import cards as C
-from folioforge.operators import folds, hierarchy, layout
+from folioforge.operators import folds, glyphs, hierarchy, layout, margins
 from folioforge.plans.corpus import LINES, SERIES, lines, series
 from folioforge.sources import files
 from folioforge.sources.tables import read
@@ -49,6 +49,50 @@ PRINTED = f"""{LINES}, printed AS (SELECT doc_id AS book_id, (i // 40)::INT AS p
   doc_id % 7 + 50.0::DOUBLE AS x0, doc_id % 7 + 50.0::DOUBLE + length(line) AS x1, CASE WHEN i % 5 = 0 THEN 8.0 ELSE 10.0 END::DOUBLE AS size FROM lines)"""
 
 
+def chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages of glyphs. On odd lines spaces are glyphs, on even ones gaps; some letters have a space over them."""
+    line = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), F.lit(0).alias("page_seq"), F.posexplode(F.split(F.translate("text", "\t\r\x0b\x0c", "    "), "\n")).alias("i", "line"))
+    glyph = line.select("book_id", "page_seq", "i", F.posexplode(F.split("line", "")).alias("k", "text")).where("text <> '' and not (text = ' ' and i % 2 = 0)")
+    top = F.col("i") * 14.0
+    box = lambda text, seq, x0, x1: F.struct(text.alias("text"), seq.alias("seq"), x0.alias("x0"), x1.alias("x1"))
+    x, seq = F.col("k") * 5.0, (F.col("i") * 1_000_000 + F.col("k")) * 2
+    own = box(F.col("text"), seq, x, x + 5.0)
+    phantom = box(F.lit(" "), seq + 1, x + 2.0, x + 4.5)
+    both = F.explode(F.when((F.ascii("text") % 7 == 0) & (F.col("text") != " "), F.array(own, phantom)).otherwise(F.array(own)))
+    return glyph.select("book_id", "page_seq", both.alias("g"), top.alias("top"), (top + 10.0).alias("bottom"), F.lit(10.0).alias("size")).select("book_id", "page_seq", "g.*", "top", "bottom", "size")
+
+
+GLYPHS = """l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM (SELECT doc_id, translate(text, chr(9) || chr(13) || chr(11) || chr(12), '    ') AS t FROM documents)),
+w AS (SELECT doc_id, i, CASE WHEN i % 2 = 0 THEN regexp_extract_all(line, '[^ ]+') ELSE [trim(regexp_replace(line, ' {2,}', ' ', 'g'))] END AS words FROM l WHERE trim(line) <> '')"""
+
+
+def margin_words(spark, sf_dir) -> DataFrame:
+    """Words of documents as pages of forty lines; every third line has its number left of the text, every fifth right of it."""
+    of = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    found = of.select("book_id", "i", F.posexplode(F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "")).alias("k", "text"))
+    inner = found.select("book_id", "i", (F.col("k") + 1).alias("word"), "text", (F.col("k") * 30.0).alias("x0"), (F.col("k") * 30.0 + 25.0).alias("x1"))
+    number = F.concat((F.col("i") % 30 + 1).cast("string"), F.lit("/"), (F.col("i") % 9 + 1).cast("string"))
+    wide = found.groupBy("book_id", "i").agg((F.max("k") * 30.0 + 25.0).alias("end"))
+    left = wide.where("i % 3 = 0").select("book_id", "i", F.lit(0).alias("word"), F.col("i").cast("string").alias("text"), F.lit(-60.0).alias("x0"), F.lit(-40.0).alias("x1"))
+    right = wide.where("i % 5 = 1").select("book_id", "i", F.lit(1_000_000).alias("word"), number.alias("text"), (F.col("end") + 1e6).alias("x0"), (F.col("end") + 1e6 + 20.0).alias("x1"))
+    return inner.unionByName(left).unionByName(right).select("book_id", F.floor(F.col("i") / 40).cast("int").alias("page_seq"), F.col("i").alias("line_no"), "word", "text", "x0", "x1")
+
+
+MARGINS = r"""l AS (SELECT doc_id AS book_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10)))))::INT AS i FROM documents),
+lw AS (SELECT book_id, i, i // 40 AS page_seq, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l),
+lines AS (SELECT *, array_to_string(w, ' ') AS text, i % 3 = 0 AS l, i % 5 = 1 AS r, (i % 30 + 1) || '/' || (i % 9 + 1) AS number FROM lw WHERE len(w) > 0),
+sized AS (SELECT *, length(text) + CASE WHEN l THEN length(i::VARCHAR) + 1 ELSE 0 END + CASE WHEN r THEN length(number) + 1 ELSE 0 END AS n, len([x FOR x IN w IF NOT regexp_matches(x, '^\d{1,4}$')]) AS others FROM lines)"""
+
+
+def note_lines(spark, sf_dir) -> DataFrame:
+    """Lines of documents as a book's note blocks: a source is a book, a document a page; every third line has a number, which
+    starts over every hundred pages and here and there is a year."""
+    row = lines(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("book")), "doc_id")
+    count = F.row_number().over(layout.Window.partitionBy("book", F.floor(F.col("doc_id") / 100)).orderBy("doc_id", "i"))
+    numbered = F.when(F.col("i") % 11 == 5, F.concat(F.lit("1987 "), F.col("line"))).when(F.col("i") % 3 == 0, F.concat(count.cast("string"), F.lit(". "), F.col("line"))).otherwise(F.col("line"))
+    return row.select("book", F.col("doc_id").alias("page"), "i", numbered.alias("text"))
+
+
 def unit_lines(spark, sf_dir) -> DataFrame:
     return lines(spark, sf_dir).withColumn("size", F.lit(10.0))
 
@@ -178,6 +222,12 @@ QUERIES = {
     "reflow_text": reflow_text,
     "join_hyphens": text_udf(P.join_hyphens),
     "slugs": text_udf(P.slug),
+    "glyph_words": lambda s, d: glyphs.words_of_glyphs(chars(s, d)).groupBy("book_id", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word", "text"))), lambda w: w["text"]), "|").alias("words")),
+    "margin_numbers": lambda s, d: margins.margin_numbers(margin_words(s, d)).where("is_margin").select("book_id", "line_no", "text"),
+    "margin_composites": lambda s, d: margins.composite_numbers(margin_words(s, d), 20).select("book_id", "line_no", "text", "moved"),
+    "notes_rebuilt": lambda s, d: folds.folded(note_lines(s, d), ["book"], ["page", "i"], folds.rebuilt_notes(3), "number int, note int, restarted boolean").select("book", "page", "note", "number", "text", "restarted"),
+    "notes_of_pages": lambda s, d: folds.folded(note_lines(s, d), ["book", "page"], ["i"], folds.page_notes, "number int, unparsed boolean").groupBy("book", "page").agg(F.count("number").cast("int").alias("notes"), F.sum(F.char_length("text")).alias("chars")),
+    "note_tails": lambda s, d: folds.folded(printed(s, d), ["book_id", "page_seq"], ["line_no"], folds.note_tail, "is_note boolean").select("book_id", "line_no", "is_note"),
     "signed_refs": lambda s, d: read(s, d, "documents").select("doc_id", P.universal_ref("example.org", b"key", F.col("doc_id").cast("string")).alias("ref")),
     "number_lists": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.number_list(F.concat(F.col("doc_id").cast("string"), F.lit("-"), (F.col("doc_id") + 3).cast("string"), F.lit(", 1"))), ",").alias("numbers")),
     "roman_numbers": lambda s, d: read(s, d, "orders").select("o_orderkey", T.roman(F.try_element_at(F.array(*[F.lit(x) for x in ("IV", "XLII", "MCMXC", "abc")]), (F.col("o_orderkey") % 4 + 1).cast("int"))).alias("n")),
@@ -191,6 +241,13 @@ QUERIES = {
 }
 
 ORACLES = {
+    "glyph_words": f"WITH {GLYPHS} SELECT doc_id AS book_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS row, array_to_string(words, '|') AS words FROM w",
+    "margin_numbers": f"""WITH {MARGINS}, pages AS (SELECT book_id, page_seq FROM sized WHERE n > 40 AND (others > 0 OR r) GROUP BY ALL HAVING count(*) >= 4)
+SELECT book_id, i AS line_no, i::VARCHAR AS text FROM sized JOIN pages USING (book_id, page_seq) WHERE l AND length(i::VARCHAR) <= 4""",
+    "margin_composites": f"""WITH {MARGINS}, pages AS (SELECT book_id, page_seq, true AS edged FROM sized WHERE n > 40 GROUP BY ALL)
+SELECT book_id, i AS line_no, CASE WHEN r AND edged AND i % 30 < 20 THEN number || chr(160) || CASE WHEN l THEN i || ' ' ELSE '' END || text
+  ELSE CASE WHEN l THEN i || ' ' ELSE '' END || text || CASE WHEN r THEN ' ' || number ELSE '' END END AS text,
+CASE WHEN r AND edged AND i % 30 < 20 THEN number END AS moved FROM sized LEFT JOIN pages USING (book_id, page_seq)""",
     "cluster_lines": f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
 SELECT doc_id AS book_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS line_no, array_to_string({WORDS}, ' ') AS text FROM l WHERE len({WORDS}) > 0""",
     "body_edges_by_parity": f"""WITH {PRINTED}, p AS (SELECT book_id, page_seq % 2 AS parity, round(x0) AS l, round(x1) AS r FROM printed WHERE length(text) > 40),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import python as P
 from folioforge.functions import text as T
 from folioforge.operators import cards as C
-from folioforge.operators import folds, glyphs, hierarchy, layout, margins
+from folioforge.operators import folds, glyphs, hierarchy, layout, links, margins
 from folioforge.plans.corpus import LINES, SERIES, lines, series
 from folioforge.sources import files
 from folioforge.sources.tables import read
@@ -93,6 +93,24 @@ def note_lines(spark, sf_dir) -> DataFrame:
     return row.select("book", F.col("doc_id").alias("page"), "i", numbered.alias("text"))
 
 
+def linked(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every third line of a document has a link over its fifth and sixth word, of which only the fifth is small."""
+    w = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), F.lit(0).alias("page_seq"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    w = w.select("book_id", "page_seq", "i", F.posexplode(F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "")).alias("k", "text"))
+    small = F.col("k") == 4
+    word = F.when(small, F.concat(F.lit("("), ((F.col("i") + F.col("book_id")) % 1000).cast("string"), F.lit(")"))).otherwise(F.col("text"))
+    box = {"x0": F.col("k") * 30.0, "x1": F.col("k") * 30.0 + 20.0, "top": F.col("i") * 14.0, "bottom": F.col("i") * 14.0 + 10.0}
+    glyph = w.withColumns(box).select("book_id", "page_seq", word.alias("text"), "x0", "x1", "top", "bottom", F.when(small, 6.0).otherwise(10.0).alias("size"))
+    rect = {"x0": F.lit(120.0), "x1": F.lit(170.0), "height": F.lit(1e6), "y1": F.lit(1e6) - F.col("i") * 14.0, "y0": F.lit(1e6) - F.col("i") * 14.0 - 10.0, "target": F.lit(1)}
+    link = w.where("k = 5 and i % 3 = 0").withColumns(rect).select("book_id", "page_seq", F.col("i").alias("link"), "x0", "y0", "x1", "y1", "target", "height")
+    return link, glyph
+
+
+def patches(spark, sf_dir) -> DataFrame:
+    """A recognised word beside every line, up to 28 points lower than the line."""
+    return printed(spark, sf_dir).select("book_id", "page_seq", F.col("line_no").alias("patch"), F.lit("w").alias("text"), F.lit(0.0).alias("x0"), F.lit(9.0).alias("x1"), (F.col("top") + (F.col("book_id") + F.col("line_no")) % 29).alias("top"), (F.col("bottom") + (F.col("book_id") + F.col("line_no")) % 29).alias("bottom"))
+
+
 def unit_lines(spark, sf_dir) -> DataFrame:
     return lines(spark, sf_dir).withColumn("size", F.lit(10.0))
 
@@ -225,6 +243,8 @@ QUERIES = {
     "glyph_words": lambda s, d: glyphs.words_of_glyphs(chars(s, d)).groupBy("book_id", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word", "text"))), lambda w: w["text"]), "|").alias("words")),
     "margin_numbers": lambda s, d: margins.margin_numbers(margin_words(s, d)).where("is_margin").select("book_id", "line_no", "text"),
     "margin_composites": lambda s, d: margins.composite_numbers(margin_words(s, d), 20).select("book_id", "line_no", "text", "moved"),
+    "link_marks": lambda s, d: links.link_marks(*linked(s, d)).select("book_id", "link", "mark", "number"),
+    "patches_placed": lambda s, d: links.placed_patches(patches(s, d), printed(s, d)).select("book_id", "page_seq", "patch", "line_no"),
     "notes_rebuilt": lambda s, d: folds.folded(note_lines(s, d), ["book"], ["page", "i"], folds.rebuilt_notes(3), "number int, note int, restarted boolean").select("book", "page", "note", "number", "text", "restarted"),
     "notes_of_pages": lambda s, d: folds.folded(note_lines(s, d), ["book", "page"], ["i"], folds.page_notes, "number int, unparsed boolean").groupBy("book", "page").agg(F.count("number").cast("int").alias("notes"), F.sum(F.char_length("text")).alias("chars")),
     "note_tails": lambda s, d: folds.folded(printed(s, d), ["book_id", "page_seq"], ["line_no"], folds.note_tail, "is_note boolean").select("book_id", "line_no", "is_note"),
@@ -241,6 +261,13 @@ QUERIES = {
 }
 
 ORACLES = {
+    "link_marks": r"""WITH l AS (SELECT doc_id AS book_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+w AS (SELECT book_id, i, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l WHERE i % 3 = 0)
+SELECT book_id, i::INT AS link, '(' || (i + book_id) % 1000 || ')' AS mark, ((i + book_id) % 1000)::INT AS number FROM w WHERE len(w) >= 6""",
+    "patches_placed": f"""WITH {PRINTED}, q AS (SELECT *, top + (book_id + line_no) % 29 AS t, bottom + (book_id + line_no) % 29 AS b FROM printed),
+best AS (SELECT q.book_id, q.page_seq, q.line_no AS patch, p.line_no, row_number() OVER (PARTITION BY q.book_id, q.page_seq, q.line_no ORDER BY least(p.bottom + 2, b) - greatest(p.top - 2, t) DESC, p.line_no) AS k
+  FROM q JOIN printed p ON q.book_id = p.book_id AND q.page_seq = p.page_seq AND (t + b) / 2 BETWEEN p.top - 2 AND p.bottom + 2 AND least(p.bottom + 2, b) > greatest(p.top - 2, t))
+SELECT q.book_id, q.page_seq, q.line_no AS patch, best.line_no FROM q LEFT JOIN best ON q.book_id = best.book_id AND q.page_seq = best.page_seq AND q.line_no = best.patch AND k = 1""",
     "glyph_words": f"WITH {GLYPHS} SELECT doc_id AS book_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS row, array_to_string(words, '|') AS words FROM w",
     "margin_numbers": f"""WITH {MARGINS}, pages AS (SELECT book_id, page_seq FROM sized WHERE n > 40 AND (others > 0 OR r) GROUP BY ALL HAVING count(*) >= 4)
 SELECT book_id, i AS line_no, i::VARCHAR AS text FROM sized JOIN pages USING (book_id, page_seq) WHERE l AND length(i::VARCHAR) <= 4""",

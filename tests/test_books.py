@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import python as P
 from folioforge.functions import text as T
-from folioforge.operators import cards, folds, glyphs, hierarchy, margins
+from folioforge.operators import cards, folds, glyphs, hierarchy, links, margins
 
 GLYPH = "book_id string, page_seq int, seq int, text string, x0 double, x1 double, top double, bottom double, size double"
 
@@ -160,3 +160,47 @@ def test_readings_are_bounded():
 def test_torn_ligatures(spark):
     row = spark.range(1).select(T.rejoin_ligatures(F.lit("a fi nal Th e e ffi cient fl ow of fish")))
     assert row.first()[0] == "a final The e efficient flow of fish" or row.first()[0].startswith("a final The")
+
+
+def test_notes_from_links(spark):
+    """A split page whose last note goes on over the page, a page that is one note, a cross-reference, a mark that is too large."""
+    lines = [(1, 0, "x" * 1300, 10.0), (2, 0, "1. first", 8.0), (2, 1, "goes on", 8.0), (2, 2, "2. second", 8.0), (3, 0, "its tail", 8.0), (3, 1, "3. third", 8.0), (3, 2, "4. fourth", 8.0), (4, 0, "one note", 8.0), (4, 1, "whole", 8.0), (5, 0, "12 Droit", 8.0), (5, 1, "13 Autre", 8.0)]
+    model = frame(spark, [("b", *r) for r in lines], "book_id string, page_seq int, line_no int, text string, size double")
+    glyph = [("1", 10, 6.0), ("2", 30, 6.0), ("7", 50, 6.0), ("9", 70, 6.0), ("x", 90, 10.0), *[("y", 200 + k, 10.0) for k in range(6)], ("5", 110, 9.9)]
+    chars = frame(spark, [("b", 1, t, float(x), x + 4.0, 100.0, 106.0, size) for t, x, size in glyph], "book_id string, page_seq int, text string, x0 double, x1 double, top double, bottom double, size double")
+    rects = [(0, 10, 2), (1, 30, 2), (2, 50, 4), (3, 70, 5), (4, 110, 4), (5, 10, 4)]
+    found = frame(spark, [("b", 1, n, x - 1.0, 693.0, x + 5.0, 701.0, to, 800.0) for n, x, to in rects], "book_id string, page_seq int, link int, x0 double, y0 double, x1 double, y1 double, target int, height double")
+    marks = links.link_marks(found, chars)
+    assert {r["link"]: (r["mark"], r["number"]) for r in marks.collect()} == {0: ("1", 1), 1: ("2", 2), 2: ("7", 7), 3: ("9", 9), 4: ("", None), 5: ("1", 1)}
+    pages = links.body_pages(model)
+    assert {(r["page_seq"]): (r["seed"], r["body"]) for r in pages.collect()} == {1: (True, True), 2: (False, False), 3: (False, False), 4: (False, False), 5: (False, True)}
+    assert {r["page_seq"] for r in links.body_pages(model, note_max=8.0).where("body").collect()} == {1}
+    got = {(r["page_seq"], r["number"]): r["text"] for r in links.notes_from_links(marks, model, pages).collect()}
+    assert got == {(1, 1): "first goes on", (1, 2): "second", (1, 7): "one note whole"}
+    assert {(r["page_seq"], r["number"]): r["text"] for r in links.note_texts(model.where("page_seq in (2, 3)")).where("number is not null").collect()} == {(2, 1): "first goes on", (2, 2): "second its tail", (3, 3): "third", (3, 4): "fourth"}
+
+
+def test_patches_go_where_they_overlap_most(spark):
+    import random
+
+    rnd = random.Random(4)
+    lines = [("b", p, n, t := n * 13.0 + rnd.random() * 6, t + 9.0 + rnd.random() * 5) for p in range(3) for n in range(12)]
+    words = [("b", p, k, "w", rnd.random() * 300, 400.0, t := rnd.random() * 220 - 20, t + rnd.random() * 15) for p in range(3) for k in range(40)]
+    got = links.placed_patches(frame(spark, words, "book_id string, page_seq int, patch int, text string, x0 double, x1 double, top double, bottom double"), frame(spark, lines, "book_id string, page_seq int, line_no int, top double, bottom double")).collect()
+    for r in got:
+        fits = [(min(b + 2, r["bottom"]) - max(t - 2, r["top"]), -n) for _, p, n, t, b in lines if p == r["page_seq"] and t - 2 <= (r["top"] + r["bottom"]) / 2 <= b + 2]
+        best = max((f for f in fits if f[0] > 0), default=None)
+        assert r["line_no"] == (None if best is None else -best[1]) and (r["new_row"] is None) == (best is not None)
+    rows = sorted((r["page_seq"], r["top"], r["new_row"]) for r in got if r["new_row"] is not None)
+    first = {}
+    for p, top, n in rows:
+        assert abs(first.setdefault((p, n), top) - top) <= 4
+    assert len(got) == 120 and rows
+
+
+def test_spliced_lines(spark):
+    lines = frame(spark, [("b", 0, 0, 100.0, 110.0)], "book_id string, page_seq int, line_no int, top double, bottom double")
+    words_ = frame(spark, [("b", 0, 0, "left", 0.0, 20.0), ("b", 0, 0, "right", 60.0, 80.0)], "book_id string, page_seq int, line_no int, text string, x0 double, x1 double")
+    new = frame(spark, [("b", 0, 0, "mid", 30.0, 50.0, 101.0, 109.0), ("b", 0, 1, "title", 40.0, 90.0, 50.0, 60.0), ("b", 0, 2, "A", 0.0, 9.0, 53.0, 63.0)], "book_id string, page_seq int, patch int, text string, x0 double, x1 double, top double, bottom double")
+    got = {(r["line_no"], r["new_row"]): (r["text"], r["x0"], r["x1"]) for r in links.spliced(words_, new, lines).collect()}
+    assert got == {(0, None): ("left mid right", 0.0, 80.0), (None, 0): ("A title", 0.0, 90.0)}

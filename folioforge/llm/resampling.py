@@ -29,7 +29,9 @@ GRAMS, BUCKETS, SEED = 3, 10_000, 42
 #: Documents of fewer words aren't drawn; of the others this many in a hundred are.
 LEAST_WORDS, PERCENT = 20, 5
 #: Bytes of text that a block holds (a longer text is a block of its own), and that a slice stands for.
-BLOCK, SLICE = 8 << 20, 4 << 20
+BLOCK, SLICE = 5 << 20, 3 << 20
+#: Weights that a task holds before it passes them on.
+HELD = 4_000_000
 
 #: For each byte its lower case, or 0 where no word goes on: ASCII letters and digits, and all bytes of other characters.
 _WORD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
@@ -71,7 +73,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def _counted(gram: np.ndarray, text: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Postings in order of gram and text: (gram, text, how often)."""
     key, n = np.unique(gram * texts + text, return_counts=True)
-    return key // texts, key % texts, n
+    return (key // texts).astype(np.int32), (key % texts).astype(np.int32), n.astype(np.int32)
 
 
 def _data(strings: pa.Array) -> tuple[memoryview, np.ndarray]:
@@ -82,8 +84,11 @@ def _data(strings: pa.Array) -> tuple[memoryview, np.ndarray]:
 
 def _hashes(strings: pa.Array) -> np.ndarray:
     data, offsets = _data(strings)
-    at = offsets.tolist()
-    return np.fromiter((zlib.crc32(data[a:b]) for a, b in zip(at[:-1], at[1:])), np.int64, len(strings))
+    out = np.empty(len(strings), np.int64)
+    for i in range(0, len(out), 1 << 16):
+        at = offsets[i : i + (1 << 16) + 1].tolist()
+        out[i : i + len(at) - 1] = [zlib.crc32(data[a:b]) for a, b in zip(at, at[1:])]
+    return out
 
 
 def _pack_words(lines: pa.Array, at: np.ndarray) -> bytes:
@@ -97,7 +102,12 @@ def _pack_words(lines: pa.Array, at: np.ndarray) -> bytes:
 
 def _unpack_words(packed: bytes) -> pa.Array:
     size = int.from_bytes(packed[:8], "little")
-    return pa.array(_CODEC.decompress(packed[8:], size, asbytes=True).split(b"\n") if size else [], pa.large_binary())
+    if not size:
+        return pa.array([], pa.large_binary())
+    letters = np.frombuffer(_CODEC.decompress(packed[8:], size, asbytes=True), np.uint8)
+    ends = np.append(np.flatnonzero(letters == 10), size)
+    offsets = np.concatenate([[0], ends - np.arange(len(ends))])
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(letters[letters != 10])])
 
 
 def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarray]:
@@ -122,16 +132,17 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
     triples, triple = np.unique(place[long] * v + word[long + 2], return_inverse=True)
     slice_of_pair = (_mixed(_mixed(hashed[pairs // v]) + hashed[pairs % v]) % np.uint64(slices)).astype(np.int64)
     slice_of_word = (_mixed(_mixed(hashed)) % np.uint64(slices)).astype(np.int64)
-    kinds = [(slice_of_word, *_counted(word, text, len(texts))), (slice_of_pair, *_counted(pair, text[together], len(texts))), (slice_of_pair[triples // v], *_counted(triple, text[long], len(texts)))]
-    # Of each kind: its features in order of their slices, and where a slice's features and postings begin.
+    # Of each kind: its features in order of their slices, their postings, and where a slice's features and postings begin.
     sorted_kinds = []
-    for where, gram, holder, count in kinds:
+    for where, gram, held in ((slice_of_word, word, text), (slice_of_pair, pair, text[together]), (slice_of_pair[triples // v], triple, text[long])):
+        gram, holder, count = _counted(gram, held, len(texts))
         order, holders = np.argsort(where, kind="stable"), np.bincount(gram, minlength=len(where))
         begins, moved = np.cumsum(holders) - holders, holders[order]
         at = np.concatenate([[0], np.cumsum(moved)])
         posting = np.repeat(begins[order] - at[:-1], moved) + np.arange(len(gram))
         cut = np.searchsorted(where[order], np.arange(slices + 1))
         sorted_kinds.append((order, moved, holder[posting], count[posting], cut.tolist(), at[cut].tolist()))
+    del word, text, pair, triple, place, together, long, gram, holder, count, posting
     (singles, *_, w_cut, _), (twos, *_, p_cut, _), (threes, *_, t_cut, _) = sorted_kinds
     rows = []
     for s in range(slices):
@@ -176,19 +187,20 @@ def packed(documents: DataFrame, slices: int, text: str = "text", doc_id: str =
         number = (TaskContext.get().partitionId() << 32) - 1
         for batch in batches:
             ids = batch.column(0).fill_null(_NO_ID).to_numpy()
-            texts = [t.as_py() or b"" for t in batch.column(1).cast(pa.binary())]
-            sizes = np.cumsum([len(t) for t in texts])
+            column = batch.column(1).cast(pa.large_binary()).fill_null(b"")
+            sizes = _data(column)[1] - _data(column)[1][0]
             begin = 0
-            while begin < len(texts):
-                limit = (sizes[begin - 1] if begin else 0) + block
-                end = max(begin + 1, int(np.searchsorted(sizes, limit, "right")))
-                rows, n_words = packed_block(texts[begin:end], slices)
+            while begin < len(column):
+                end = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + block, "right")) - 1)
+                rows, n_words = packed_block(column.slice(begin, end - begin).to_pylist(), slices)
                 number += 1
                 out = [row | {"block": number} for row in rows]
                 out.append({"slice": number % slices, "block": number, "ids": ids[begin:end].tobytes(), "words": n_words.astype(np.int64).tobytes()})
                 for i in range(0, len(out), 64):
                     yield pa.RecordBatch.from_pylist(out[i : i + 64], _PACKED_ARROW)
+                del rows, out
                 begin = end
+                pa.default_memory_pool().release_unused()
 
     return documents.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, _PACKED)
 
@@ -222,6 +234,7 @@ def _by_slice(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple
             if at != now and now is not None:
                 yield some, lists, gains
                 some, lists = _Slice(buckets), []
+                pa.default_memory_pool().release_unused()
             now = at
             if gains is None and "gains" in batch.schema.names:
                 gains = np.array(batch.column("gains")[i].as_py(), np.int64)
@@ -278,6 +291,7 @@ def _weighed(sliced: DataFrame, buckets: int) -> DataFrame:
     schema = pa.schema([("block", pa.int64()), *[(c, pa.binary()) for c in ("texts", "sums", "ids", "words")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}  # a block's weights, over the slices at hand
         for some, lists, gain in _by_slice(batches, buckets):
             out = [(row["block"], None, None, row["ids"], row["words"]) for row in lists]
             if some.rows:
@@ -286,16 +300,29 @@ def _weighed(sliced: DataFrame, buckets: int) -> DataFrame:
                 for block, n, holders, texts, counts in some.rows:
                     each = np.repeat(worth[feature[begin : begin + n]], holders) * counts
                     begin += n
-                    there, which = np.unique(texts, return_inverse=True)
-                    sums = np.zeros(len(there), np.int64)
-                    np.add.at(sums, which, each)
-                    out.append((block, _pack(there), _pack((sums << 1) ^ (sums >> 63)), None, None))
-            for i in range(0, len(out), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i : i + 64]), schema)], schema=schema)
+                    before = held.get(block, np.zeros(0, np.int64))
+                    sums = np.bincount(texts, weights=each, minlength=len(before)).astype(np.int64)  # exact below 2^53
+                    sums[: len(before)] += before
+                    held[block] = sums
+                if sum(map(len, held.values())) > HELD:
+                    out += _sums(held)
+                    held = {}
+            yield from _batches(out, schema)
+        yield from _batches(_sums(held), schema)
 
     return sliced.mapInArrow(run, "block long, texts binary, sums binary, ids binary, words binary")
 
 
+def _sums(held: dict[int, np.ndarray]) -> list[tuple]:
+    some = [(block, np.flatnonzero(w), w[w != 0]) for block, w in held.items()]
+    return [(block, _pack(there), _pack((w << 1) ^ (w >> 63)), None, None) for block, there, w in some]
+
+
+def _batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 64]), schema)], schema=schema)
+
+
 def _summed(parts: pa.Table) -> pa.Table:
     """One block's documents with their weights."""
     rows = parts.to_pylist()

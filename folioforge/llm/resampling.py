@@ -29,7 +29,7 @@ GRAMS, BUCKETS, SEED = 3, 10_000, 42
 #: Documents of fewer words aren't drawn; of the others this many in a hundred are.
 LEAST_WORDS, PERCENT = 20, 5
 #: Bytes of text that a block holds (a longer text is a block of its own), and that a slice stands for.
-BLOCK, SLICE = 5 << 20, 3 << 20
+BLOCK, SLICE = 4 << 20, 2 << 20
 #: Weights that a task holds before it passes them on.
 HELD = 4_000_000
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import books, corpus, service
+from folioforge.plans import books, builds, corpus, service
 
-MODULES = [service, corpus, books]
+MODULES = [service, corpus, books, builds]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -58,7 +58,8 @@ def without_phantom_spaces(glyphs: DataFrame, page: Sequence[str] = PAGE, stream
     x = Window.partitionBy(*line).orderBy("x0", stream)
     letter = F.when(~F.col("_blank"), F.struct("x0", "x1"))
     left = F.last(letter, ignorenulls=True).over(x.rowsBetween(Window.unboundedPreceding, -1))
-    right = F.first(letter, ignorenulls=True).over(x.rowsBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy(*line).orderBy(F.desc("x0"), F.desc(stream))  # a frame with an unbounded end would be read anew for each glyph
+    right = F.last(letter, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     held = lambda o: F.coalesce((F.col("x0") >= o["x0"] - SLACK) & (F.col("x1") <= o["x1"] + SLACK), F.lit(False))
     return once.withColumn("_held", F.col("_blank") & (held(left) | held(right))).where("not _held").drop("_held", "_blank")
 

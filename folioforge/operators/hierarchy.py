@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.python import similarity
 from folioforge.functions.text import spaced_key
+from folioforge.operators.sequence import carried_back
 
 #: Pages to either side, least ratio, characters of the heads that are compared.
 AROUND, LEAST, PREFIX, CONTAINED = 1, 0.72, 20, 60
@@ -51,8 +52,7 @@ def ancestor_path(entries: DataFrame, book: Sequence[str], order: str, depth: st
 
 def inherited_pages(entries: DataFrame, book: Sequence[str], order: str, page: str = "printed_page") -> DataFrame:
     """An entry without a page takes the next entry's."""
-    after = Window.partitionBy(*book).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    return entries.withColumn(page, F.first(page, ignorenulls=True).over(after))
+    return entries.withColumn(page, carried_back(F.col(page), book, [order]))
 
 
 def act_ranges(outline: DataFrame, book: Sequence[str], page: str = "page") -> DataFrame:

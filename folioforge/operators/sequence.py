@@ -14,6 +14,11 @@ def _past(keys: Keys, order: Sequence, upto: int = 0):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
 
 
+def _future(keys: Keys, order: Sequence, upto: int = 0):
+    """The rows from this one on, last row first. A frame with an unbounded end would be read anew for each row."""
+    return Window.partitionBy(*keys).orderBy(*[F.desc(o) if isinstance(o, str) else o.desc() for o in order]).rowsBetween(Window.unboundedPreceding, -upto)
+
+
 def carried_forward(value: Column, keys: Keys, order: Sequence) -> Column:
     """The last value that isn't null up to this row."""
     return F.last(value, ignorenulls=True).over(_past(keys, order))
@@ -21,7 +26,7 @@ def carried_forward(value: Column, keys: Keys, order: Sequence) -> Column:
 
 def carried_back(value: Column, keys: Keys, order: Sequence) -> Column:
     """The next value that isn't null from this row on."""
-    return F.first(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing))
+    return F.last(value, ignorenulls=True).over(_future(keys, order))
 
 
 def as_of(events: DataFrame, switches: DataFrame, keys: Keys, at: str, value: str) -> DataFrame:
@@ -104,13 +109,12 @@ def filled_between(pages: DataFrame, keys: Keys, page: str, folio: str) -> DataF
     order = [page]
     offset = F.col(folio) - F.col(page)
     left = F.last(offset, ignorenulls=True).over(_past(keys, order, -1))
-    after = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    right = F.first(offset, ignorenulls=True).over(after)
+    right = F.last(offset, ignorenulls=True).over(_future(keys, order, 1))
     lone = F.col(folio).isNotNull() & ~(left.isNull() & right.isNull()) & ~offset.eqNullSafe(left) & ~offset.eqNullSafe(right)
     read = pages.withColumn("_read", F.when(~lone, F.col(folio)))
     known = F.col("_read") - F.col(page)
     before = F.last(known, ignorenulls=True).over(_past(keys, order))
-    behind = F.first(known, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing))
+    behind = carried_back(known, keys, order)
     value = F.when(F.col("_read").isNotNull(), F.col("_read")).otherwise(F.col(page) + F.coalesce(F.when(before.eqNullSafe(behind), before), behind, before))
     approx = F.col("_read").isNull() & before.isNotNull() & behind.isNotNull() & ~before.eqNullSafe(behind)
     return read.withColumns({"_value": value, f"{folio}_approx": approx}).withColumn(folio, F.col("_value")).drop("_read", "_value")
@@ -118,4 +122,4 @@ def filled_between(pages: DataFrame, keys: Keys, page: str, folio: str) -> DataF
 
 def suffix_flag(small: Column, keys: Keys, order: Sequence) -> Column:
     """True for rows of the longest suffix in which every row is small."""
-    return F.min(small).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing))
+    return F.min(small).over(_future(keys, order))

@@ -217,15 +217,27 @@ def found_units(index: DataFrame, tokens: DataFrame, profile: Profile) -> DataFr
 
 def numbered(units: DataFrame) -> DataFrame:
     """Units with `number` and `action`; each series of a family in a section is read by itself, and unreadable ones stay
-    in with a null number, for the report."""
+    in with a null number, for the report.
 
-    def series(rows):
+    A series of decimal numbers in which none stands where its neighbours want another one is read by expressions; only the
+    others, whose next number depends on those read before, are folded.
+    """
+    series = [*BOOK, "family", "section"]
+
+    def fold(rows):
         read = list(folds.audited(rows))
         mended = folds.repaired_by_neighbours([r for r in read if r["number"] is not None])
         told = (dict(r, action="repaired_by_neighbours") if r["number_raw"] is not None else r for r in mended)
         return chain((r for r in read if r["number"] is None), told)
 
-    return folds.folded(units, [*BOOK, "family", "section"], ["i", "sub"], series, "number int, action string")
+    w = Window.partitionBy(*series).orderBy("i", "sub")
+    n = F.when(F.regexp_like(F.trim("raw"), F.lit(r"^[0-9]{1,9}$")), F.trim("raw").cast("int"))
+    before, behind = F.lag("number").over(w), F.lead("number").over(w)
+    wanted = F.coalesce((F.col("number") != before + 1) & (behind == before + 2), F.lit(False))
+    read = units.withColumn("number", n).withColumn("_odd", F.col("number").isNull() | wanted)
+    read = read.withColumn("_odd", F.max("_odd").over(Window.partitionBy(*series)))
+    plain = read.where("not _odd").drop("_odd").withColumn("action", F.lit("read"))
+    return plain.unionByName(folds.folded(read.where("_odd").drop("_odd", "number"), series, ["i", "sub"], fold, "number int, action string"))
 
 
 def assembled(index: DataFrame, units: DataFrame) -> DataFrame:

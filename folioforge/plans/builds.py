@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioforge.operators import probe
 from folioforge.plans import build as B
 from folioforge.sources.tables import read
 
@@ -70,7 +71,23 @@ def build_released(spark, sf_dir) -> DataFrame:
     return cards.select("book_id", "external_id", "text_reflowed")
 
 
-QUERIES = {"build_cards": build_cards, "build_report": build_report, "build_released": build_released}
+def typeset(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(lines, numbers): the printed books' lines, a page's first one apart at its top and a folio apart at its foot; every
+    fourth line has a number left of it, every seventh one right."""
+    book = printed(spark, sf_dir)
+    at = F.col("n") % 10
+    line = book.select("book_id", "page_seq", at.cast("int").alias("line_no"), F.col("line").alias("text"), F.lit(100.0).alias("x0"), (100 + 5.0 * F.char_length("line")).alias("x1"), F.when(at == 0, 10.0).otherwise(60 + 40.0 * at).alias("top"), F.when(at >= 8, 7.0).otherwise(10.0).alias("size"))
+    folio = book.select("book_id", "page_seq").distinct().select("*", F.lit(10).alias("line_no"), (F.col("page_seq") + 1).cast("string").alias("text"), F.lit(300.0).alias("x0"), F.lit(310.0).alias("x1"), F.lit(680.0).alias("top"), F.lit(10.0).alias("size"))
+    left = book.where("n % 4 = 0").select("book_id", "page_seq", F.lit("7").alias("text"), F.lit(40.0).alias("x0"), F.lit(50.0).alias("x1"))
+    right = book.where("n % 7 = 0").select("book_id", "page_seq", F.lit("8").alias("text"), F.lit(1e6).alias("x0"), F.lit(1e6).alias("x1"))
+    return line.unionByName(folio).withColumns({"bottom": F.col("top") + 10.0, "height": F.lit(700.0)}), left.unionByName(right)
+
+
+def layout_probe(spark, sf_dir) -> DataFrame:
+    return probe.probed(*typeset(spark, sf_dir)).select("book_id", "pages", "body_size", "folios", "margin_left", "margin_right", "header_band", "bottom_band", "note_size_max", "folio_band")
+
+
+QUERIES = {"layout_probe": layout_probe, "build_cards": build_cards, "build_report": build_report, "build_released": build_released}
 
 PRINTED = r"""raw AS (SELECT doc_id AS book_id, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS line, i
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)),
@@ -95,6 +112,25 @@ ids AS (SELECT c.*, c.book_id || ':rn:' || CASE WHEN section IS NULL THEN '' ELS
 twice AS (SELECT book_id, count(*) AS duplicates FROM (SELECT book_id, external_id FROM ids GROUP BY ALL HAVING count(*) > 1) GROUP BY book_id)"""
 
 ORACLES = {
+    "layout_probe": f"""WITH {PRINTED}, set_ AS (SELECT book_id, page, n, CASE WHEN note THEN (n % 10 - 7) || '. ' || line WHEN opens THEN '# ' || number || ' ' || line WHEN heads THEN 'Chapter ' || (n // 12 + 1) || ': ' || line ELSE line END AS text FROM typed),
+l AS (SELECT book_id, page, n % 10 AS k, text, 100 + 5.0::DOUBLE * length(text) AS x1, CASE WHEN n % 10 = 0 THEN 10 ELSE 60 + 40 * (n % 10) END AS top, CASE WHEN n % 10 >= 8 THEN 7.0 ELSE 10.0 END AS size FROM set_
+  UNION ALL SELECT DISTINCT book_id, page, 10, (page + 1)::VARCHAR, 310.0, 680, 10.0 FROM set_),
+many AS (SELECT *, count(*) OVER (PARTITION BY book_id, page) AS lines FROM l), used AS (SELECT * FROM many WHERE lines >= 5),
+mode AS (SELECT book_id, arg_max(size, (chars, -size)) AS body_size FROM (SELECT book_id, size, sum(length(text)) AS chars FROM used GROUP BY ALL) GROUP BY book_id),
+edge AS (SELECT book_id, page, median(x1) AS r, max(lines) AS lines FROM used JOIN mode USING (book_id) WHERE abs(size - body_size) < 0.4 AND length(text) > 40 GROUP BY ALL),
+gap AS (SELECT u.*, lead(top) OVER w - top - 10 AS after, top - lag(top) OVER w - 10 AS before FROM used u WINDOW w AS (PARTITION BY book_id, page ORDER BY top)),
+cut AS (SELECT book_id, page, greatest(0, median(after)) + 4 AS cut FROM gap GROUP BY ALL),
+flags AS (SELECT g.*, body_size, bool_and(coalesce(after > cut, false)) OVER (PARTITION BY book_id, page ORDER BY top) AS head, bool_and(coalesce(before > cut, false)) OVER (PARTITION BY book_id, page ORDER BY top DESC) AS foot
+  FROM gap g JOIN cut USING (book_id, page) JOIN edge USING (book_id, page) JOIN mode USING (book_id)),
+ends AS (SELECT *, max(CASE WHEN head OR NOT foot THEN top + 10 END) OVER (PARTITION BY book_id, page) AS b, min(CASE WHEN NOT head THEN top END) OVER (PARTITION BY book_id, page) AS t FROM flags),
+p AS (SELECT book_id, page, any_value(body_size) AS body_size, max(top / 700.0) FILTER (head) AS head, min(t / 700.0) AS body, min((top + 8) / 700.0) FILTER (foot AND NOT head) AS foot,
+  min(top / 700.0) FILTER (top > b - 0.25 * CASE WHEN b > t THEN b - t ELSE 700 END AND size < body_size - 0.6 AND length(text) > 25) AS note,
+  median(size) FILTER (top > b - 0.25 * CASE WHEN b > t THEN b - t ELSE 700 END AND size < body_size - 0.6 AND length(text) > 25) AS note_size,
+  count(*) FILTER (foot AND NOT head AND regexp_matches(trim(text), '^[0-9]{{1,4}}$')) AS folios FROM ends GROUP BY ALL),
+m AS (SELECT s.book_id, count(*) FILTER (n % 4 = 0) AS margin_left, count(*) FILTER (n % 7 = 0) AS margin_right FROM set_ s JOIN p USING (book_id, page) GROUP BY ALL)
+SELECT book_id, count(*) AS pages, any_value(body_size)::DOUBLE AS body_size, sum(folios)::BIGINT AS folios, any_value(margin_left) AS margin_left, any_value(margin_right) AS margin_right,
+round(coalesce((max(head) + min(body)) / 2, 0.06), 3)::DOUBLE AS header_band, round(coalesce(min(note) - 0.03, 0.7), 2)::DOUBLE AS bottom_band, round(median(note_size) + 0.2, 1)::DOUBLE AS note_size_max, round(coalesce(1 - min(foot), 0.1), 2)::DOUBLE AS folio_band
+FROM p JOIN m USING (book_id) GROUP BY book_id""",
     "build_cards": f"""WITH {PRINTED} SELECT i.book_id, external_id, number::INT AS number, section, address, source || ' (' || lang || '), ' || address AS citation, i.text, notes,
 page_start, page_end, page_start + 1 AS printed_page_start, page_end + 1 AS printed_page_end, char_start, char_end FROM ids i JOIN documents ON doc_id = book_id""",
     "build_report": f"""WITH {PRINTED}, size AS (SELECT book_id, max(start + length(text)) AS book_chars FROM placed GROUP BY book_id),

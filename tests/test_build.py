@@ -108,7 +108,7 @@ def test_hierarchy_from_contents(spark):
 
 
 def test_duplicates_stop_the_pipeline(spark):
-    books = {"good": [page("#1 a text of some length", "#2 another one of some length")], "twice": [page("#1 a text of some length", "#1 another one of some length")]}
+    books = {"good": [page("#1 a text of more than fifty characters, as units have", "#2 another text of more than fifty characters, as units have")], "twice": [page("#1 a text of more than fifty characters, as units have", "#1 another text of more than fifty characters, as units have")]}
     cards, figures = B.standard(*setting(spark, books), profile(), strict=False)
     assert {r["book_id"] for r in cards.collect()} == {"good"}
     assert {r["book_id"]: r["stops"] for r in figures.collect()} == {"good": [], "twice": ["duplicates"]}

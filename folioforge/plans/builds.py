@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioforge.operators import probe
+from folioforge.operators import contents, probe
 from folioforge.plans import build as B
 from folioforge.sources.tables import read
 
@@ -87,7 +87,17 @@ def layout_probe(spark, sf_dir) -> DataFrame:
     return probe.probed(*typeset(spark, sf_dir)).select("book_id", "pages", "body_size", "folios", "margin_left", "margin_right", "header_band", "bottom_band", "note_size_max", "folio_band")
 
 
-QUERIES = {"layout_probe": layout_probe, "build_cards": build_cards, "build_report": build_report, "build_released": build_released}
+def contents_entries(spark, sf_dir) -> DataFrame:
+    """The documents' lines as two-column contents: the numbers stand a point lower, and every third line has none."""
+    book = printed(spark, sf_dir).withColumn("line", F.regexp_replace("line", "[.]", "")).where("line <> ''")
+    top = (F.col("n") % 10) * 20.0
+    left = book.select("book_id", "page_seq", F.concat(F.lit("§ "), F.col("n").cast("string"), F.lit(". x"), F.col("line")).alias("text"), F.lit(100.0).alias("x0"), top.alias("top"))
+    right = book.where("n % 3 <> 2").select("book_id", "page_seq", (F.col("n") + 1).cast("string").alias("text"), F.lit(500.0).alias("x0"), (top + 4.0).alias("top"))
+    found = contents.entries(left.unionByName(right), 400.0, [(r"§\s*(\d+)\.\s*", "paragraph", 1)])
+    return found.select("book_id", "page_seq", "depth", "marker", "number", F.char_length("title").alias("n_title"), "printed_page", "inherited")
+
+
+QUERIES = {"contents_entries": contents_entries, "layout_probe": layout_probe, "build_cards": build_cards, "build_report": build_report, "build_released": build_released}
 
 PRINTED = r"""raw AS (SELECT doc_id AS book_id, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS line, i
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)),
@@ -112,6 +122,11 @@ ids AS (SELECT c.*, c.book_id || ':rn:' || CASE WHEN section IS NULL THEN '' ELS
 twice AS (SELECT book_id, count(*) AS duplicates FROM (SELECT book_id, external_id FROM ids GROUP BY ALL HAVING count(*) > 1) GROUP BY book_id)"""
 
 ORACLES = {
+    "contents_entries": f"""WITH {PRINTED}, set_ AS (SELECT book_id, page, n, replace(CASE WHEN note THEN (n % 10 - 7) || '. ' || line WHEN opens THEN '# ' || number || ' ' || line WHEN heads THEN 'Chapter ' || (n // 12 + 1) || ': ' || line ELSE line END, '.', '') AS text FROM typed),
+tail AS (SELECT *, CASE WHEN n % 3 = 2 THEN nullif(regexp_extract(rtrim(text), '\\s([0-9]{{1,4}})$', 1), '') END AS last FROM set_ WHERE text <> ''),
+e AS (SELECT * REPLACE (CASE WHEN last IS NULL THEN text ELSE regexp_replace(rtrim(text), '\\s[0-9]{{1,4}}$', '') END AS text), CASE WHEN n % 3 <> 2 THEN n + 1 ELSE last::INT END AS own FROM tail)
+SELECT book_id, page::INT AS page_seq, 1 AS depth, 'paragraph' AS marker, n::VARCHAR AS number, length(trim('x' || text))::INT AS n_title,
+first_value(own IGNORE NULLS) OVER (PARTITION BY book_id ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::INT AS printed_page, own IS NULL AS inherited FROM e""",
     "layout_probe": f"""WITH {PRINTED}, set_ AS (SELECT book_id, page, n, CASE WHEN note THEN (n % 10 - 7) || '. ' || line WHEN opens THEN '# ' || number || ' ' || line WHEN heads THEN 'Chapter ' || (n // 12 + 1) || ': ' || line ELSE line END AS text FROM typed),
 l AS (SELECT book_id, page, n % 10 AS k, text, 100 + 5.0::DOUBLE * length(text) AS x1, CASE WHEN n % 10 = 0 THEN 10 ELSE 60 + 40 * (n % 10) END AS top, CASE WHEN n % 10 >= 8 THEN 7.0 ELSE 10.0 END AS size FROM set_
   UNION ALL SELECT DISTINCT book_id, page, 10, (page + 1)::VARCHAR, 310.0, 680, 10.0 FROM set_),

@@ -142,3 +142,17 @@ def test_profiles_from_files(tmp_path):
     path.write_text('{"id": "p", "unit": {"type": "Rn.", "id_prefix": "rn", "pattern": "x", "note": 1}, "margin": {"side": "outer", "x_range": [1, 2]}}')
     got = B.load_profile(str(path))
     assert (got.units[0].mode, got.margin_side, got.margin_range) == ("flow", "outer", (1, 2))
+
+
+def test_contents_in_two_columns(spark):
+    """A number a little lower than its title, one far from any, leaders, a missing page, and a row without a marker."""
+    from folioforge.operators import contents
+
+    words = [("§ 1. First . . . .", 50.0, 10.0), ("7", 400.0, 14.0), ("§ 2. Second ..... 9", 50.0, 30.0), ("a) inner", 80.0, 50.0), ("99", 400.0, 63.0), ("not an entry", 50.0, 80.0), ("§ 3. Third", 50.0, 100.0), ("12", 400.0, 101.0), ("§ 4. Last", 50.0, 120.0)]
+    frame = spark.createDataFrame([("b", 0, *w) for w in words], "book_id string, page_seq int, text string, x0 double, top double")
+    markers = [(r"§\s*(\d+)\.\s*", "paragraph", 1), (r"([a-z])\)\s*", "lower", 4)]
+    of = lambda df: [(r["number"], r["title"], r["depth"], r["printed_page"], r["inherited"]) for r in df.orderBy("row").collect()]
+    want = [("1", "First", 1, 7, False), ("2", "Second", 1, 9, False), ("a", "inner", 4, 12, True), ("3", "Third", 1, 12, False), ("4", "Last", 1, None, True)]
+    assert of(contents.entries(frame, 300.0, markers)) == want
+    assert of(contents.entries(frame, 300.0, markers, indents=[(70.0, 90.0, 3)]))[2][2] == 3
+    assert of(contents.entries(frame.limit(0), 300.0, markers)) == []

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import books, builds, corpus, service, settings
+from folioforge.plans import audits, books, builds, corpus, service, settings
 
-MODULES = [service, corpus, books, builds, settings]
+MODULES = [service, corpus, books, builds, settings, audits]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -118,3 +118,42 @@ def merge_missing(primary: DataFrame, secondary: DataFrame, key: str, name: str)
 def seeded_sample(cards: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """The same n cards every time: the least hashes of key and seed."""
     return cards.orderBy(F.sha2(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))), 256), key).limit(n)
+
+
+def tallies(rows: DataFrame, book: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(book, column, value, n): how often each value of each column occurs, nulls too, all columns in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    return rows.select(*book, F.explode(pairs).alias("_p")).groupBy(*book, F.col("_p.column").alias("column"), F.col("_p.value").alias("value")).agg(F.count("*").alias("n"))
+
+
+def voted(rows: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
+    """(keys, value, votes): the most frequent value that isn't null; of equally frequent ones the first by `order`, a number."""
+    of = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("votes"), F.min(order).alias("_first"))
+    return of.groupBy(*keys).agg(F.max(F.struct("votes", (-F.col("_first")).alias("_f"), value)).alias("_b")).select(*keys, f"_b.{value}", "_b.votes")
+
+
+def look_first(cards: DataFrame, book: Sequence[str], ident: str = "external_id", text: str = "text", notes: str = "note_numbers") -> DataFrame:
+    """(book, control_characters, id_collisions, unnumbered_notes): what to look at before anything else.
+
+    Characters below a space but tab and line ends; cards beyond the first of an id; entries of `notes` that are null.
+    """
+    control = F.char_length(text) - F.char_length(F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""))
+    bare = F.size(F.filter(notes, lambda n: n.isNull()))
+    by_id = cards.groupBy(*book, ident).agg(F.count(ident).alias("_n"), F.sum(control).alias("_c"), F.sum(F.when(F.col(notes).isNotNull(), bare)).alias("_u"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return by_id.groupBy(*book).agg(total("_c").alias("control_characters"), total(F.greatest(F.col("_n") - 1, F.lit(0))).alias("id_collisions"), total("_u").alias("unnumbered_notes"))
+
+
+def against_expected(cards: DataFrame, expected: DataFrame, book: Sequence[str], family: str) -> DataFrame:
+    """(book, family, cards, expected, fits), a row also where only one side knows the family; expected: (book, family, expected)."""
+    have = cards.groupBy(*book, family).agg(F.count("*").alias("cards"))
+    both = have.join(expected, [*book, family], "full").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("cards", "expected")})
+    return both.withColumn("fits", F.col("cards") == F.col("expected"))
+
+
+def rising_share(rows: DataFrame, series: Sequence[str], order: Sequence[str], number: str) -> DataFrame:
+    """(series, steps, share): how many of the steps between neighbours rise, rounded to 4; null where there is no step."""
+    before = F.lag(number).over(Window.partitionBy(*series).orderBy(*order))
+    steps = rows.where(F.col(number).isNotNull()).withColumn("_b", before)
+    share = F.round(F.avg(F.when(F.col("_b").isNotNull(), (F.col(number) > F.col("_b")).cast("int"))), 4)
+    return steps.groupBy(*series).agg(F.count("_b").alias("steps"), share.alias("share"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -110,3 +110,20 @@ def resolve(items: DataFrame, catalogue: DataFrame) -> DataFrame:
     short = catalogue.groupBy(normal(F.col("title")).alias("t")).agg(F.min("id").alias("by_title"), F.count("*").alias("n")).where("n = 1").drop("n")
     keyed = items.select("item", normal(F.col("title")).alias("t"), normal(F.array_join("authors", "")).alias("a"))
     return keyed.join(full, ["t", "a"], "left").join(short, "t", "left").select("item", F.coalesce("by_both", "by_title").alias("source_id"))
+
+
+def card_place(page: Column, top: Column) -> Column:
+    """Where a card stands: by page, then by its upper edge; without a page it comes last, without an edge first on its page."""
+    return F.struct(F.coalesce(page.cast("bigint"), F.lit(10**6)).alias("page"), F.coalesce(top.cast("double"), F.lit(0.0)).alias("top"))
+
+
+def vector_of(text: Column, dims: int) -> Column:
+    """A JSON list of numbers as array<float>; null unless it is a list of `dims` numbers."""
+    parsed = F.from_json(text, "array<float>", {"mode": "PERMISSIVE"})
+    return F.when((F.size(parsed) == dims) & F.forall(parsed, lambda x: x.isNotNull()), parsed)
+
+
+def printed_page_batches(cards: DataFrame, book: Sequence[str], key: str, size: int = 500) -> DataFrame:
+    """(book, key, printed_page_start, printed_page_end, batch): patches of the cards with a printed page, `size` a batch."""
+    some = cards.where(F.col("printed_page_start").isNotNull()).select(*book, key, "printed_page_start", "printed_page_end")
+    return some.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*book).orderBy(key)) - 1) / size))

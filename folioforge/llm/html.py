@@ -6,8 +6,10 @@ of lines. A surge point is where a window's sum rises over the limit, a dive poi
 text between them is kept whole, and so are the lines around it up to the next gap, which stands where such a container
 or an article begins or ends. The limit is LIMIT characters, or half of the page's own fullest window if that is less.
 
-Where a page marks an article, stretches outside of it go, and any text at all is a surge inside. A container that only
-its class, id or role marks counts as text if it holds more than half of the page's: then it is the page's own wrapper.
+Where a page marks an article, stretches outside of it go, and any text at all, that of links too, is a surge inside. A
+`main` without an article counts as one if it holds half of the page's text. A class, id or role marks a container if one of
+its words is a mark and the others only say what shape it has: `cookie-notice` and `ad-box`, but not `social-history`. A
+container that only these mark counts as text if it holds more than half of the page's: then it is the page's own wrapper.
 """
 
 from __future__ import annotations
@@ -35,22 +37,30 @@ ARTICLE = frozenset("article main".split())
 MARKS = frozenset(
     "ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies disqus footer login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that say what shape a container has and not what it holds.
+SHAPES = frozenset("area bar block bottom box button col column container content desktop fixed footer form group header inner item items left link links list main mobile module nav outer panel right row section slot sticky top unit wrap wrapper".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
+def _marks(name: str) -> bool:
+    words = _WORDS.findall(name.lower())
+    return not MARKS.isdisjoint(words) and all(w in MARKS or w in SHAPES or w.isdigit() or len(w) == 1 for w in words)
+
+
 def _marked(attributes: str) -> bool:
-    return bool(attributes) and any(not MARKS.isdisjoint(_WORDS.findall(m.lower())) for m in _NAMED.findall(attributes))
+    return bool(attributes) and any(_marks(name) for value in _NAMED.findall(attributes) for name in value.strip("\"'").split())
 
 
 class Line:
-    """A line of text: its length outside of links, the containers that leave it out (0: none), whether it is in an article."""
+    """A line of text: its length outside of links, the container that leaves it out (0: none), and whether it is in an
+    article (2), only in a main part (1) or in neither (0)."""
 
     __slots__ = ("text", "free", "out", "article")
 
-    def __init__(self, text: str, free: int, out: int, article: bool):
+    def __init__(self, text: str, free: int, out: int, article: int):
         self.text, self.free, self.out, self.article = text, free, out, article
 
 
@@ -59,19 +69,19 @@ def lines_of(page: str) -> tuple[list[Line], list[bool]]:
     lines: list[Line] = []
     parts: list[str] = []
     by_tag = [False]
-    articles = links = free = 0
+    articles = mains = links = free = 0
     out: tuple[str, int] | None = None  # the element that is left out, and how many of its name are open
 
     def close() -> None:
         nonlocal free
         if text := " ".join("".join(parts).split()):
-            lines.append(Line(text, min(free, len(text)), len(by_tag) - 1 if out else 0, articles > 0))
+            lines.append(Line(text, min(free, len(text)), len(by_tag) - 1 if out else 0, 2 if articles else 1 if mains else 0))
         parts.clear()
         free = 0
 
     def gap() -> None:
         close()
-        lines.extend(Line("", 0, 0, False) for _ in range(WINDOW))
+        lines.extend(Line("", 0, 0, 0) for _ in range(WINDOW))
 
     at, n = 0, len(page)
     while at < n:
@@ -118,8 +128,12 @@ def lines_of(page: str) -> tuple[list[Line], list[bool]]:
             parts.append(" ")
         elif name in ARTICLE and not (not closing and _marked(attributes)):
             gap()
-            articles = max(0, articles - 1) if closing else articles + 1
-        elif not closing and name not in VOID and (name in OUT or name == "header" and not articles or name not in ("html", "body") and _marked(attributes)):
+            step = -1 if closing else 1
+            if name == "main":
+                mains = max(0, mains + step)
+            else:
+                articles = max(0, articles + step)
+        elif not closing and name not in VOID and (name in OUT or name == "header" and not (articles or mains) or name not in ("html", "body") and _marked(attributes)):
             gap()
             out = (name, 1)
             by_tag.append(name in OUT or name == "header")
@@ -129,14 +143,14 @@ def lines_of(page: str) -> tuple[list[Line], list[bool]]:
     return lines, by_tag
 
 
-def weights(lines: list[Line], by_tag: list[bool]) -> list[int]:
-    """The lines' lengths: 0 where a container leaves them out, unless a marked one holds more than half of the page's text."""
+def counted(lines: list[Line], by_tag: list[bool]) -> list[bool]:
+    """Whether a line counts: no container leaves it out, or a marked one that holds more than half of the page's text."""
     held = [0] * len(by_tag)
     for line in lines:
         held[line.out] += line.free
     text = sum(h for h, tag in zip(held, by_tag) if not tag)
     counts = [i == 0 or not tag and 2 * held[i] > text for i, tag in enumerate(by_tag)]
-    return [line.free if counts[line.out] else 0 for line in lines]
+    return [counts[line.out] for line in lines]
 
 
 def between(lengths: list[int], limit: int, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -160,9 +174,11 @@ def between(lengths: list[int], limit: int, window: int = WINDOW) -> list[tuple[
 
 def main_text(page: str) -> str:
     lines, by_tag = lines_of(page)
-    lengths = weights(lines, by_tag)
-    if any(line.article and x for line, x in zip(lines, lengths)):
-        lengths, limit = [x if line.article else 0 for line, x in zip(lines, lengths)], 0
+    counts = counted(lines, by_tag)
+    lengths = [line.free if c else 0 for line, c in zip(lines, counts)]
+    articles, mains = (sum(x for line, x in zip(lines, lengths) if line.article >= k) for k in (2, 1))
+    if articles or mains and 2 * mains >= sum(lengths):
+        lengths, limit = [len(line.text) if line.article and c else 0 for line, c in zip(lines, counts)], 0
     else:
         fullest = max((sum(lengths[i : i + WINDOW]) for i in range(len(lengths))), default=0)
         limit = min(LIMIT, fullest // 2)

@@ -309,3 +309,30 @@ SELECT doc_id, coalesce(nullif(regexp_extract(head, '^(\w+ion) ', 1), ''), nulli
 SELECT user_id, sum(opens)::BIGINT AS sessions, count(*) AS events FROM e GROUP BY user_id""",
     "stream_upsert": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id",
 }
+
+_NUMBERED = """ordered AS (SELECT o_custkey AS book, o_orderstatus AS section, o_orderkey AS "at", row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i, 't' || o_orderkey AS text FROM orders),
+numbered AS (SELECT book, section, "at", i, text, (i + CASE WHEN "at" % 13 = 0 THEN 300 ELSE 0 END)::INT AS number, "at" AS page_end FROM ordered)"""
+
+ORACLES |= {
+    "split_restarts": f"""WITH {_NUMBERED} SELECT book, section, "at", number, text, page_end, CASE WHEN number > 300 OR coalesce(max(number) OVER (PARTITION BY book ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 300 THEN 1 ELSE 2 END AS part FROM numbered""",
+    "rising_cut": f"""WITH RECURSIVE {_NUMBERED}, r AS (SELECT book, i, number <= 3 AS ok, CASE WHEN number <= 3 THEN number ELSE 0 END AS last FROM numbered WHERE i = 1
+  UNION ALL SELECT n.book, n.i, last < n.number AND n.number <= last + 3, CASE WHEN last < n.number AND n.number <= last + 3 THEN n.number ELSE last END FROM r JOIN numbered n ON n.book = r.book AND n.i = r.i + 1)
+SELECT book, section, "at", number, text, page_end FROM numbered JOIN r USING (book, i) WHERE ok""",
+    "notes_repaired": f"""WITH RECURSIVE {_NUMBERED}, a AS (SELECT *, lead(number) OVER (PARTITION BY book ORDER BY i) AS after FROM numbered),
+r AS (SELECT book, i, true AS kept, number AS last FROM a WHERE i = 1
+  UNION ALL SELECT book, i, fits OR NOT coalesce(after <> 1 AND last < after AND after <= last + 20, false), CASE WHEN fits OR NOT coalesce(after <> 1 AND last < after AND after <= last + 20, false) THEN number ELSE last END
+  FROM (SELECT a.book, a.i, a.number, a.after, r.last, a.number = 1 OR (r.last < a.number AND a.number <= r.last + 20) AS fits FROM r JOIN a ON a.book = r.book AND a.i = r.i + 1)),
+g AS (SELECT a.*, kept, sum(kept::INT) OVER (PARTITION BY a.book ORDER BY a.i) AS g FROM a JOIN r USING (book, i))
+SELECT book, arg_min(section, i) AS section, min("at") AS "at", arg_min(number, i) AS number, string_agg(CASE WHEN kept THEN text ELSE number || '. ' || text END, ' ' ORDER BY i) AS text, arg_min(page_end, i) AS page_end FROM g GROUP BY book, g""",
+    "merge_backward": f"""WITH RECURSIVE {_NUMBERED}, k AS (SELECT *, row_number() OVER (PARTITION BY book, section ORDER BY i) AS j FROM numbered),
+r AS (SELECT book, section, j, true AS ok, number AS last FROM k WHERE j = 1
+  UNION ALL SELECT k.book, k.section, k.j, last < number AND number <= last + 20, CASE WHEN last < number AND number <= last + 20 THEN number ELSE last END FROM r JOIN k ON k.book = r.book AND k.section = r.section AND k.j = r.j + 1),
+g AS (SELECT k.*, ok, sum(ok::INT) OVER (PARTITION BY k.book ORDER BY k.i) AS g FROM k JOIN r USING (book, section, j))
+SELECT book, arg_min(section, i) AS section, min("at") AS "at", arg_min(number, i) AS number, string_agg(CASE WHEN ok THEN text ELSE number || '. ' || text END, chr(10) ORDER BY i) AS text, max(page_end) AS page_end FROM g GROUP BY book, g""",
+    "lis_numbers": f"""WITH RECURSIVE {_NUMBERED}, l AS (SELECT book, i, number, 1 AS n FROM numbered UNION SELECT b.book, b.i, b.number, l.n + 1 FROM l JOIN numbered b ON b.book = l.book AND b.i > l.i AND b.number > l.number)
+SELECT book, max(n)::BIGINT AS n FROM l GROUP BY book""",
+    "human_sizes": """WITH s AS (SELECT doc_id, n_chars::BIGINT * 1000 AS n FROM documents), u AS (SELECT doc_id, n, CASE WHEN n >= 1073741824 THEN 'GB' WHEN n >= 1048576 THEN 'MB' WHEN n >= 1024 THEN 'KB' ELSE 'B' END AS unit FROM s),
+v AS (SELECT *, n / CASE unit WHEN 'GB' THEN 1073741824 WHEN 'MB' THEN 1048576 ELSE 1024 END AS x FROM u)
+SELECT doc_id, CASE WHEN unit = 'B' THEN n || ' B' WHEN x >= 999.95 THEN '1,' || printf('%05.1f', x - 1000) || ' ' || unit ELSE printf('%.1f', x) || ' ' || unit END AS size FROM v""",
+    "slugs": r"SELECT doc_id, trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-') AS text FROM documents",
+}

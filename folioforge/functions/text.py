@@ -123,10 +123,12 @@ def trim_after(text: Column, pattern: str, least: int = 40) -> Column:
 def find_all(text: Column, patterns: list[str]) -> Column:
     """Matches of all patterns in pattern order, each once, whatever its case; the first spelling is kept."""
     found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0)) for p in patterns]))
-    # Both arrays are made once, and passed on as an array of one struct.
-    once = F.transform(F.array(F.struct(found.alias("found"), F.transform(found, F.lower).alias("lower"))), _first_spellings)
-    return F.get(once, F.lit(0))
+    placed = F.array_sort(F.transform(found, lambda m, i: F.struct(F.lower(m).alias("lower"), i.alias("i"), m.alias("found"))))
+    # The sorted array is made once, and passed on as an array of one.
+    return F.get(F.transform(F.array(placed), _first_spellings), F.lit(0))
 
 
-def _first_spellings(x: Column) -> Column:
-    return F.transform(F.array_distinct(x["lower"]), lambda m: F.get(x["found"], F.array_position(x["lower"], m).cast("int") - 1))
+def _first_spellings(found: Column) -> Column:
+    """Of neighbours that are equal but for their case the first stays; what stays goes back to its place."""
+    firsts = F.filter(found, lambda m, i: (i == 0) | (F.get(found, i - 1)["lower"] != m["lower"]))
+    return F.transform(F.array_sort(F.transform(firsts, lambda m: F.struct(m["i"].alias("i"), m["found"].alias("found")))), lambda m: m["found"])

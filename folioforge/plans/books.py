@@ -335,4 +335,11 @@ SELECT book, max(n)::BIGINT AS n FROM l GROUP BY book""",
 v AS (SELECT *, n / CASE unit WHEN 'GB' THEN 1073741824 WHEN 'MB' THEN 1048576 ELSE 1024 END AS x FROM u)
 SELECT doc_id, CASE WHEN unit = 'B' THEN n || ' B' WHEN x >= 999.95 THEN '1,' || printf('%05.1f', x - 1000) || ' ' || unit ELSE printf('%.1f', x) || ' ' || unit END AS size FROM v""",
     "slugs": r"SELECT doc_id, trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-') AS text FROM documents",
+    "merge_outliers": f"""WITH RECURSIVE {_NUMBERED}, b AS (SELECT *, NOT coalesce(number - lag(number) OVER (PARTITION BY book ORDER BY i) BETWEEN 0 AND 10, false) AS opens FROM numbered),
+c AS (SELECT *, sum(opens::INT) OVER (PARTITION BY book ORDER BY i) AS run FROM b), runs AS (SELECT book, run, count(*) AS n, arg_min(number, i) AS first, arg_max(number, i) AS last FROM c GROUP BY book, run),
+r AS (SELECT book, run, true AS kept, last AS at_ FROM runs WHERE run = 1
+  UNION ALL SELECT u.book, u.run, NOT (n <= 2 AND first > at_ + 20), CASE WHEN n <= 2 AND first > at_ + 20 THEN at_ ELSE u.last END FROM r JOIN runs u ON u.book = r.book AND u.run = r.run + 1),
+g AS (SELECT c.*, sum(kept::INT) OVER (PARTITION BY c.book ORDER BY c.i) AS g FROM c JOIN r USING (book, run))
+SELECT book, arg_min(section, i) AS section, min("at") AS "at", arg_min(number, i) AS number, string_agg(text, chr(10) ORDER BY i) AS text, max(page_end) AS page_end FROM g GROUP BY book, g""",
+    "repair_neighbours": f"""WITH {_NUMBERED} SELECT book, section, "at", number, NULL::INT AS number_raw, text, page_end FROM numbered""",
 }

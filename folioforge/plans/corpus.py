@@ -304,7 +304,7 @@ SELECT user_id, page, CASE WHEN folio IS NOT NULL THEN folio ELSE page + coalesc
     "normalize_address": _text("'X.–' || length(text)"),
     "repair_article_numbers": _text("CASE WHEN length(length(text)::VARCHAR) = 3 THEN length(text)::VARCHAR ELSE translate(length(text)::VARCHAR, '015', 'OlS') END"),
     "running_head": _text(r"trim(regexp_replace(length(text) || ' ' || string_split(text, chr(10))[1], '^\s*\d{1,4}\s+|\s+\d{1,4}\s*$', '', 'g'), ' ')"),
-    "statutory_refs": r"""WITH m AS (SELECT doc_id, list_concat(regexp_extract_all(text, 'section \d+', 0, 'i'), list_concat(list_filter(regexp_extract_all(regexp_replace(text, '[^\x00-\x7F\P{L}]', '_', 'g'), '\b\w+tion\b', 0, 'i'), x -> NOT contains(x, '_')), regexp_extract_all(text, 'the \w+tion', 0, 'i'))) AS m FROM documents),
+    "statutory_refs": r"""WITH m AS (SELECT doc_id, list_concat(regexp_extract_all(text, 'section \d+', 0, 'i'), list_concat([x FOR x IN regexp_extract_all(regexp_replace(text, '[^\x00-\x7F\P{L}]', '_', 'g'), '\b\w+tion\b', 0, 'i') IF NOT contains(x, '_')], regexp_extract_all(text, 'the \w+tion', 0, 'i'))) AS m FROM documents),
 e AS (SELECT doc_id, unnest(m) AS ref, unnest(range(len(m))) AS i FROM m), f AS (SELECT doc_id, arg_min(ref, i) AS ref, min(i) AS i FROM e GROUP BY doc_id, lower(ref)),
 r AS (SELECT doc_id, string_agg(ref, '|' ORDER BY i) AS refs FROM f GROUP BY doc_id)
 SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(refs, '') END AS refs FROM documents LEFT JOIN r USING (doc_id)""",

@@ -63,11 +63,12 @@ def hierarchy_stack(spark, sf_dir) -> DataFrame:
 
 
 def series(spark, sf_dir) -> DataFrame:
-    """Order lines as numbered units: some are left out, by a rule on the part key."""
-    return read(spark, sf_dir, "lineitem").where("l_partkey % 3 <> 0").select(F.col("l_returnflag").alias("family"), F.col("l_orderkey").alias("section"), F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("part"))
+    """Order lines as numbered units: the part key moves some numbers up, so that there are gaps and repeats."""
+    number = (F.col("l_linenumber") + F.col("l_partkey") % 3).cast("int")
+    return read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("family"), F.col("l_orderkey").alias("section"), number.alias("number"), F.col("l_partkey").alias("part"))
 
 
-SERIES = "series AS (SELECT l_returnflag AS family, l_orderkey AS section, l_linenumber AS number, l_partkey AS part FROM lineitem WHERE l_partkey % 3 <> 0)"
+SERIES = "series AS (SELECT l_returnflag AS family, l_orderkey AS section, (l_linenumber + l_partkey % 3)::INT AS number, l_partkey AS part FROM lineitem)"
 
 
 def sequence_breaks(spark, sf_dir) -> DataFrame:
@@ -79,8 +80,9 @@ def continuity_share(spark, sf_dir) -> DataFrame:
 
 
 def cards(spark, sf_dir) -> DataFrame:
-    """Every third line and every fifth one, grown by ten characters, as cards with offsets into their book."""
-    return lines(spark, sf_dir).where("i % 3 = 0 or i % 5 = 0").select("doc_id", "i", F.col("start").alias("char_start"), (F.col("end") + 10).alias("char_end"), F.col("line").alias("text"))
+    """Lines as cards with offsets into their book: every third and every fifth is ten characters longer, of the others half is missing."""
+    end = F.expr("CASE WHEN i % 3 = 0 OR i % 5 = 0 THEN end + 10 ELSE start + char_length(line) div 2 END")
+    return lines(spark, sf_dir).select("doc_id", "i", F.col("start").alias("char_start"), end.alias("char_end"), F.col("line").alias("text"))
 
 
 def book_lengths(spark, sf_dir) -> DataFrame:
@@ -88,7 +90,7 @@ def book_lengths(spark, sf_dir) -> DataFrame:
 
 
 CARDS = f"""{LINES},
-cards AS (SELECT doc_id, i, start AS char_start, start + length(line) + 10 AS char_end, line AS text FROM lines WHERE i % 3 = 0 OR i % 5 = 0),
+cards AS (SELECT doc_id, i, start AS char_start, CASE WHEN i % 3 = 0 OR i % 5 = 0 THEN start + length(line) + 10 ELSE start + length(line) // 2 END AS char_end, line AS text FROM lines),
 books AS (SELECT doc_id, max(start + length(line)) + 10 AS book_chars FROM lines GROUP BY doc_id),
 merged AS (SELECT *, coalesce(max(char_end) OVER (PARTITION BY doc_id ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM cards)"""
 
@@ -132,14 +134,15 @@ def refs(spark, sf_dir) -> DataFrame:
 
 
 def runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Two extractions of the documents: the second lacks some, has moved some, and reads others differently."""
+    """Two extractions of the documents: each has given some an id of its own; the second has moved some, and reads others differently."""
     first = numbered_cards(spark, sf_dir).select("doc_id", F.col("n_chars").alias("page_start"), "text")
-    second = first.where("doc_id % 7 <> 0").withColumns({"page_start": F.when(F.col("doc_id") % 5 == 0, F.col("page_start") + 1).otherwise(F.col("page_start")), "text": F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text"))})
-    return first.where("doc_id % 11 <> 0"), second
+    own = lambda n: F.when(F.col("doc_id") % n == 0, -1 - n * F.col("doc_id")).otherwise(F.col("doc_id"))
+    second = first.withColumns({"page_start": F.when(F.col("doc_id") % 5 == 0, F.col("page_start") + 1).otherwise(F.col("page_start")), "text": F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text"))})
+    return first.withColumn("doc_id", own(11)), second.withColumn("doc_id", own(7))
 
 
-RUNS = """one AS (SELECT doc_id, n_chars AS page_start, text FROM documents WHERE doc_id % 11 <> 0),
-two AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN n_chars + 1 ELSE n_chars END AS page_start, CASE WHEN doc_id % 3 = 0 THEN upper(text) ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0)"""
+RUNS = """one AS (SELECT CASE WHEN doc_id % 11 = 0 THEN -1 - 11 * doc_id ELSE doc_id END AS doc_id, n_chars AS page_start, text FROM documents),
+two AS (SELECT CASE WHEN doc_id % 7 = 0 THEN -1 - 7 * doc_id ELSE doc_id END AS doc_id, CASE WHEN doc_id % 5 = 0 THEN n_chars + 1 ELSE n_chars END AS page_start, CASE WHEN doc_id % 3 = 0 THEN upper(text) ELSE text END AS text FROM documents)"""
 
 
 def regression_diff(spark, sf_dir) -> DataFrame:
@@ -174,7 +177,8 @@ def equal_pages(spark, sf_dir) -> DataFrame:
 
 def dead_pages(spark, sf_dir) -> DataFrame:
     pages = read(spark, sf_dir, "documents").select("source", "doc_id")
-    spans = pages.where("doc_id % 4 = 0").select("source", F.col("doc_id").alias("page_start"), (F.col("doc_id") + 20).alias("page_end"))
+    length = F.when(F.col("doc_id") % 4 == 0, 20).otherwise(-1)  # a card may hold no page
+    spans = pages.select("source", F.col("doc_id").alias("page_start"), (F.col("doc_id") + length).alias("page_end"))
     return qa.dead_pages(pages, spans, ["source"], "doc_id")
 
 

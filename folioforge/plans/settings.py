@@ -91,10 +91,11 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_units(spark, sf_dir) -> DataFrame:
-    """The documents' jobs as units, merged, without notes."""
+    """The documents' jobs as units, without notes; the units are written once, since merging them reads them three times."""
     lines = printjobs.apparatus(printjobs.split(jobs(spark, sf_dir))).where("not is_note")
-    found = printjobs.merged(printjobs.units(printjobs.raised(printjobs.numbered(lines))))
-    return found.select("book_id", "job", "section", "number", "upto", "how", F.sha2("text", 256).alias("text_sha256"))
+    units, place = printjobs.units(printjobs.raised(printjobs.numbered(lines))), scratch(spark, "job-units")
+    units.write.parquet(place)
+    return printjobs.merged(spark.read.schema(units.schema).parquet(place)).select("book_id", "job", "section", "number", "upto", "how", F.sha2("text", 256).alias("text_sha256"))
 
 
 QUERIES = {

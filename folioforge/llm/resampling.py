@@ -2,7 +2,8 @@
 
 A feature is a run of one to three consecutive words. Documents are gone through in blocks of some megabytes. A block is
 packed as the distinct features that it holds, in order of their words, each with its postings: the block's documents that
-hold it and how often. The packed features are dealt out over slices by their first two words, so that one slice meets all
+hold it and how often. A pair of words goes on to a triple unless a document ends with it, and a pair's triples are in its
+slice, so its postings are those of its triples and of these ends, and aren't written again. The packed features are dealt out over slices by their first two words, so that one slice meets all
 blocks' entries of a feature, and a word that every document holds is one entry for each block, not one for each document.
 
 A slice's dictionary is the union of its blocks' features with their counts over the corpus. Each distinct string is hashed
@@ -113,8 +114,8 @@ def _unpack_words(packed: bytes) -> pa.Array:
 def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarray]:
     """The features of one block by slice, and the number of words of each text.
 
-    A slice's features are its single words, its pairs and their triples, in this order; each has as many postings as
-    `holders` says. Pairs are written as the distinct first words with the seconds of each, triples as the thirds of each
+    A slice's features are its single words, its pairs and their triples, in this order; each word and triple has as many
+    postings as `holders` says. `ended` are the pairs that texts end with, `enders` these texts. Pairs are written as the distinct first words with the seconds of each, triples as the thirds of each
     pair, so a word is written about once for each feature that it ends.
     """
     words, word, text = words_of(texts)
@@ -134,7 +135,7 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
     slice_of_word = (_mixed(_mixed(hashed)) % np.uint64(slices)).astype(np.int64)
     # Of each kind: its features in order of their slices, their postings, and where a slice's features and postings begin.
     sorted_kinds = []
-    for where, gram, held in ((slice_of_word, word, text), (slice_of_pair, pair, text[together]), (slice_of_pair[triples // v], triple, text[long])):
+    for where, gram, held in ((slice_of_word, word, text), (slice_of_pair[triples // v], triple, text[long])):
         gram, holder, count = _counted(gram, held, len(texts))
         order, holders = np.argsort(where, kind="stable"), np.bincount(gram, minlength=len(where))
         begins, moved = np.cumsum(holders) - holders, holders[order]
@@ -142,8 +143,14 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
         posting = np.repeat(begins[order] - at[:-1], moved) + np.arange(len(gram))
         cut = np.searchsorted(where[order], np.arange(slices + 1))
         sorted_kinds.append((order, moved, holder[posting], count[posting], cut.tolist(), at[cut].tolist()))
-    del word, text, pair, triple, place, together, long, gram, holder, count, posting
-    (singles, *_, w_cut, _), (twos, *_, p_cut, _), (threes, *_, t_cut, _) = sorted_kinds
+    twos = np.argsort(slice_of_pair, kind="stable")
+    p_cut = np.searchsorted(slice_of_pair[twos], np.arange(slices + 1)).tolist()
+    last = together[~np.isin(together + 1, together, assume_unique=True)]
+    last = last[np.argsort(slice_of_pair[place[last]], kind="stable")]
+    ended, enders = place[last], text[last]
+    e_cut = np.searchsorted(slice_of_pair[ended], np.arange(slices + 1)).tolist()
+    del word, text, pair, triple, place, together, long, last, gram, holder, count, posting
+    (singles, *_, w_cut, _), (threes, *_, t_cut, _) = sorted_kinds
     rows = []
     for s in range(slices):
         single, two, three = singles[w_cut[s] : w_cut[s + 1]], twos[p_cut[s] : p_cut[s + 1]], threes[t_cut[s] : t_cut[s + 1]]
@@ -162,6 +169,8 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
             "holders": _pack(np.concatenate([k[1][k[4][s] : k[4][s + 1]] for k in sorted_kinds])),
             "texts": _pack(part(2)),
             "counts": _pack(part(3)),
+            "ended": _pack(np.searchsorted(two, ended[e_cut[s] : e_cut[s + 1]])),
+            "enders": _pack(enders[e_cut[s] : e_cut[s + 1]]),
         })
     return rows, n_words
 
@@ -173,7 +182,7 @@ def unpacked_features(row: dict) -> pa.Array:
     return pa.concat_arrays([singles, pairs, triples])
 
 
-_BINARY = ("singles", "firsts", "seconds", "thirds", "seconds_of", "thirds_of", "holders", "texts", "counts", "ids", "words")
+_BINARY = ("singles", "firsts", "seconds", "thirds", "seconds_of", "thirds_of", "holders", "texts", "counts", "ended", "enders", "ids", "words")
 _PACKED = "slice int, block long, " + ", ".join(f"{c} binary" for c in _BINARY)
 _PACKED_ARROW = pa.schema([("slice", pa.int32()), ("block", pa.int64()), *[(c, pa.binary()) for c in _BINARY]])
 #: Stands for a null id in the packed ids.
@@ -217,7 +226,28 @@ class _Slice:
 
     def add(self, row: dict) -> None:
         self.strings.append(unpacked_features(row))
-        self.rows.append((row["block"], len(self.strings[-1]), _unpack(row["holders"]), _unpack(row["texts"]), _unpack(row["counts"])))
+        thirds_of, holders = _unpack(row["thirds_of"]), _unpack(row["holders"])
+        n, singles = len(self.strings[-1]), len(holders) - int(thirds_of.sum())
+        self.rows.append((row["block"], n, singles, thirds_of, holders, *(_unpack(row[c]) for c in ("texts", "counts", "ended", "enders"))))
+
+    def counts(self) -> np.ndarray:
+        """How often each entry stands in its block; a pair as often as its triples and at the ends of texts."""
+        out = []
+        for _, _, singles, thirds_of, holders, _, counts, ended, _ in self.rows:
+            n = np.add.reduceat(counts, np.cumsum(holders) - holders) if len(holders) else holders
+            before = np.concatenate([[0], np.cumsum(n[singles:])])
+            after = np.cumsum(thirds_of)
+            out += [n[:singles], before[after] - before[after - thirds_of] + np.bincount(ended, minlength=len(thirds_of)), n[singles:]]
+        return np.concatenate(out)
+
+    def worth(self, worth: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, texts, what each adds) from the worth of every entry; a triple's posting adds its pair's worth too."""
+        begin = 0
+        for block, n, singles, thirds_of, holders, texts, counts, ended, enders in self.rows:
+            each, begin = worth[begin : begin + n], begin + n
+            pairs = each[singles : singles + len(thirds_of)]
+            posted = np.concatenate([each[:singles], each[singles + len(thirds_of) :] + np.repeat(pairs, thirds_of)])
+            yield block, np.concatenate([texts, enders]), np.concatenate([np.repeat(posted, holders) * counts, pairs[ended]])
 
     def dictionary(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(the distinct features, the bucket of each, the feature of each entry)."""
@@ -254,7 +284,7 @@ def features(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         for some, _, _ in _by_slice(batches, buckets):
             if some.rows:
                 strings, bucket, feature = some.dictionary()
-                n = np.bincount(feature, weights=np.concatenate([np.add.reduceat(c, np.cumsum(h) - h) for _, _, h, _, c in some.rows]), minlength=len(strings))
+                n = np.bincount(feature, weights=some.counts(), minlength=len(strings))
                 yield pa.RecordBatch.from_arrays([strings.cast(pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64)), pa.array(bucket.astype(np.int32))], ["feature", "n", "bucket"])
 
     return dealt(rows).mapInArrow(run, "feature string, n long, bucket int")
@@ -267,8 +297,7 @@ def _bucket_sums(sliced: DataFrame, buckets: int) -> DataFrame:
         for some, _, _ in _by_slice(batches, buckets):
             if some.rows:
                 _, bucket, feature = some.dictionary()
-                n = np.concatenate([np.add.reduceat(c, np.cumsum(h) - h) for _, _, h, _, c in some.rows])
-                sums = np.bincount(bucket[feature], weights=n, minlength=buckets).astype(np.int64)
+                sums = np.bincount(bucket[feature], weights=some.counts(), minlength=buckets).astype(np.int64)
                 there = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(sums[there])], ["bucket", "n"])
 
@@ -296,10 +325,7 @@ def _weighed(sliced: DataFrame, buckets: int) -> DataFrame:
             out = [(row["block"], None, None, row["ids"], row["words"]) for row in lists]
             if some.rows:
                 _, bucket, feature = some.dictionary()
-                worth, begin = gain[bucket], 0
-                for block, n, holders, texts, counts in some.rows:
-                    each = np.repeat(worth[feature[begin : begin + n]], holders) * counts
-                    begin += n
+                for block, texts, each in some.worth(gain[bucket][feature]):
                     before = held.get(block, np.zeros(0, np.int64))
                     sums = np.bincount(texts, weights=each, minlength=len(before)).astype(np.int64)  # exact below 2^53
                     sums[: len(before)] += before

@@ -86,3 +86,24 @@ def test_exchange_is_read_twice_not_made_twice(spark):
     out = resampling.weights(df, df.select("text"))
     assert len(out.collect()) == 20
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_counted_by_their_triples_and_the_ends_of_texts():
+    """A pair's postings aren't written: words and triples have theirs, and each text the pair that it ends with."""
+    texts = [b"a b a b a", b"a b", b"c", b"", b"b a b c"]
+    rows, _ = resampling.packed_block(texts, 3)
+    entries, weighed = {}, [0] * len(texts)
+    for row in rows:
+        assert len(resampling._unpack(row["holders"])) == len(resampling.unpacked_features(row)) - len(resampling._unpack(row["thirds_of"]))
+        some = resampling._Slice(7)
+        some.add(row | {"block": 0})
+        strings, _, feature = some.dictionary()
+        entries |= dict(zip(strings.take(feature).to_pylist(), some.counts().tolist()))
+        worth = [1000 ** len(x.split()) for x in strings.take(feature).to_pylist()]
+        for _, held, each in some.worth(resampling.np.array(worth)):
+            for t, x in zip(held.tolist(), each.tolist()):
+                weighed[t] += x
+    grams = [[tuple(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)] for w in (t.split() for t in texts)]
+    every = [b" ".join(g) for some in grams for g in some]
+    assert entries == {g: every.count(g) for g in every}
+    assert weighed == [sum(1000 ** len(g) for g in some) for some in grams]

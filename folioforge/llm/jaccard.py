@@ -259,6 +259,16 @@ def _met(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     return dealt.groupBy("key", "a", "b").applyInArrow(run, "u long, v long")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """One subset of those that the same sets share in the same roles: they all give the same pairs.
+
+    Rows of a subset are distinct, so that their hashes don't cancel out; members are told apart by 128 bits and their number.
+    """
+    member = ["node", "role", "seeks"]
+    members = rows.groupBy("key").agg(F.bit_xor(F.xxhash64(*member)).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), *member)).alias("m2"), F.count("*").alias("n"))
+    return rows.join(members.groupBy("m1", "m2", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def links(texts: DataFrame, needed_texts, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Edges (u, v) that join the same sets as all links do. texts: one column; needed_texts: nodes -> (node, text)."""
     w = Window.partitionBy("key")
@@ -283,7 +293,7 @@ def links(texts: DataFrame, needed_texts, shingle: int = SHINGLE, percent: int =
         if new.isEmpty():
             break
         edges = edges.unionByName(new)
-    rows = materialize(_with_components(alive, edges), "apart")
+    rows = materialize(_once(_with_components(alive, edges)), "apart")
     pairs = _met(rows.join(sets.select("node", "sketch"), "node"), percent)
     pairs = materialize(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "pairs")
     return edges.unionByName(_verified(pairs, sets, percent))

@@ -113,3 +113,10 @@ def test_messy_and_empty(spark, messy, nothing):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     assert found(J.near_duplicates(messy)) == brute(rows)
     assert J.near_duplicates(nothing).count() == 0
+
+
+def test_subsets_of_the_same_sets_are_compared_once(spark):
+    rows = [(k, n, 9, r, n, s) for k in range(50) for n, r, s in ((1, 2, True), (2, 0, False), (2, 1, False))]
+    rows += [(60, 1, 9, 2, 1, True), (60, 2, 9, 0, 2, False), (61, 1, 9, 2, 1, False), (61, 2, 9, 2, 2, True)]
+    table = spark.createDataFrame(rows, "key long, node long, size int, role byte, root long, seeks boolean")
+    assert {r["key"] for r in J._once(table).collect()} == {0, 60, 61}

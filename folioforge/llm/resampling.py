@@ -6,9 +6,10 @@ hold it and how often. A pair of words goes on to a triple unless a document end
 slice, so its postings are those of its triples and of these ends, and aren't written again. The packed features are dealt out over slices by their first two words, so that one slice meets all
 blocks' entries of a feature, and a word that every document holds is one entry for each block, not one for each document.
 
-A slice's dictionary is the union of its blocks' features with their counts over the corpus. Each distinct string is hashed
-to its bucket there, and the buckets' sums give the gains: a table of `buckets` rows whatever the corpus. The same exchange
-is then read once more: the gains are joined to the dictionary, go back to the postings, and are summed for each document.
+A slice's dictionary is the union of its blocks' features with their counts over the corpus. A feature's hash is put together
+from those of its words, as a CRC of two parts follows from theirs; so only a slice's distinct words are gone through byte by
+byte. The buckets' sums give the gains: a table of `buckets` rows whatever the corpus. The same exchange is then read once
+more: the gains are joined to the blocks' features, go back to the postings, and are summed for each document.
 Neither the features of a document nor the dictionary are ever in one place: a task holds a block or a slice.
 """
 
@@ -92,6 +93,36 @@ def _hashes(strings: pa.Array) -> np.ndarray:
     return out
 
 
+def _shifts() -> tuple[np.ndarray, np.ndarray]:
+    """What each byte of a CRC becomes when bytes follow: by their number below 64, and 64 times each power of two."""
+    units = np.arange(256, dtype=np.uint32) << (8 * np.arange(4, dtype=np.uint32))[:, None]
+    one = np.array([[zlib.crc32(b"\0", x) ^ zlib.crc32(b"\0") for x in row] for row in units.tolist()], np.uint32)
+    then = lambda x, table: table[0][x & 255] ^ table[1][x >> 8 & 255] ^ table[2][x >> 16 & 255] ^ table[3][x >> 24]
+    few = [units]
+    for _ in range(64):
+        few.append(then(few[-1], one))
+    many = [few.pop()]
+    for _ in range(31):
+        many.append(then(many[-1], many[-1]))
+    return np.array(few), np.array(many)
+
+
+_FEW, _MANY = _shifts()
+
+
+def _joined(a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRCs of strings in two parts from those of the parts; size: bytes of the second."""
+    at = (size & 63) << 10
+    out = _FEW.take(at + (a & 255))
+    for k in (1, 2, 3):
+        out ^= _FEW.take(at + ((a >> 8 * k & 255) | k << 8))
+    for bit in range(int(size.max(initial=0) >> 6).bit_length()):
+        more = np.flatnonzero(size >> 6 + bit & 1)
+        x, table = out[more], _MANY[bit]
+        out[more] = table[0][x & 255] ^ table[1][x >> 8 & 255] ^ table[2][x >> 16 & 255] ^ table[3][x >> 24]
+    return out ^ b
+
+
 def _pack_words(lines: pa.Array, at: np.ndarray) -> bytes:
     """Some of the words, which end with a line feed each."""
     if not len(at):
@@ -137,13 +168,13 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
     sorted_kinds = []
     for where, gram, held in ((slice_of_word, word, text), (slice_of_pair[triples // v], triple, text[long])):
         gram, holder, count = _counted(gram, held, len(texts))
-        order, holders = np.argsort(where, kind="stable"), np.bincount(gram, minlength=len(where))
+        order, holders = np.argsort(where.astype(np.min_scalar_type(slices)), kind="stable"), np.bincount(gram, minlength=len(where))
         begins, moved = np.cumsum(holders) - holders, holders[order]
         at = np.concatenate([[0], np.cumsum(moved)])
         posting = np.repeat(begins[order] - at[:-1], moved) + np.arange(len(gram))
         cut = np.searchsorted(where[order], np.arange(slices + 1))
         sorted_kinds.append((order, moved, holder[posting], count[posting], cut.tolist(), at[cut].tolist()))
-    twos = np.argsort(slice_of_pair, kind="stable")
+    twos = np.argsort(slice_of_pair.astype(np.min_scalar_type(slices)), kind="stable")
     p_cut = np.searchsorted(slice_of_pair[twos], np.arange(slices + 1)).tolist()
     last = together[~np.isin(together + 1, together, assume_unique=True)]
     last = last[np.argsort(slice_of_pair[place[last]], kind="stable")]
@@ -175,13 +206,22 @@ def packed_block(texts: list[bytes], slices: int) -> tuple[list[dict], np.ndarra
     return rows, n_words
 
 
-def unpacked_features(row: dict) -> pa.Array:
-    singles, firsts, seconds, thirds = (_unpack_words(row[c]) for c in ("singles", "firsts", "seconds", "thirds"))
-    pairs = pc.binary_join_element_wise(firsts.take(pa.array(np.repeat(np.arange(len(firsts)), _unpack(row["seconds_of"])))), seconds, _BLANK) if len(seconds) else seconds
-    triples = pc.binary_join_element_wise(pairs.take(pa.array(np.repeat(np.arange(len(pairs)), _unpack(row["thirds_of"])))), thirds, _BLANK) if len(thirds) else thirds
+def _unpack_lists(row: dict) -> list[pa.Array]:
+    """The single words, and the first, second and third words of pairs and triples."""
+    return [_unpack_words(row[c]) for c in ("singles", "firsts", "seconds", "thirds")]
+
+
+def _strings(lists: list[pa.Array], seconds_of: np.ndarray, thirds_of: np.ndarray) -> pa.Array:
+    singles, firsts, seconds, thirds = lists
+    pairs = pc.binary_join_element_wise(firsts.take(pa.array(np.repeat(np.arange(len(firsts)), seconds_of))), seconds, _BLANK) if len(seconds) else seconds
+    triples = pc.binary_join_element_wise(pairs.take(pa.array(np.repeat(np.arange(len(pairs)), thirds_of))), thirds, _BLANK) if len(thirds) else thirds
     return pa.concat_arrays([singles, pairs, triples])
 
 
+def unpacked_features(row: dict) -> pa.Array:
+    return _strings(_unpack_lists(row), _unpack(row["seconds_of"]), _unpack(row["thirds_of"]))
+
+
 _BINARY = ("singles", "firsts", "seconds", "thirds", "seconds_of", "thirds_of", "holders", "texts", "counts", "ended", "enders", "ids", "words")
 _PACKED = "slice int, block long, " + ", ".join(f"{c} binary" for c in _BINARY)
 _PACKED_ARROW = pa.schema([("slice", pa.int32()), ("block", pa.int64()), *[(c, pa.binary()) for c in _BINARY]])
@@ -222,12 +262,14 @@ class _Slice:
     """The blocks' entries of one slice, and their dictionary."""
 
     def __init__(self, buckets: int):
-        self.buckets, self.strings, self.rows = buckets, [], []
+        self.buckets, self.lists, self.seconds_of, self.rows = buckets, [], [], []
 
     def add(self, row: dict) -> None:
-        self.strings.append(unpacked_features(row))
+        lists = _unpack_lists(row)
+        self.lists.append(lists)
+        self.seconds_of.append(_unpack(row["seconds_of"]))
         thirds_of, holders = _unpack(row["thirds_of"]), _unpack(row["holders"])
-        n, singles = len(self.strings[-1]), len(holders) - int(thirds_of.sum())
+        n, singles = len(lists[0]) + len(lists[2]) + len(lists[3]), len(lists[0])
         self.rows.append((row["block"], n, singles, thirds_of, holders, *(_unpack(row[c]) for c in ("texts", "counts", "ended", "enders"))))
 
     def counts(self) -> np.ndarray:
@@ -249,10 +291,28 @@ class _Slice:
             posted = np.concatenate([each[:singles], each[singles + len(thirds_of) :] + np.repeat(pairs, thirds_of)])
             yield block, np.concatenate([texts, enders]), np.concatenate([np.repeat(posted, holders) * counts, pairs[ended]])
 
+    def entry_buckets(self) -> np.ndarray:
+        """The bucket of each entry. Only distinct words are gone through byte by byte; runs are put together from them."""
+        words = pa.concat_arrays([words for lists in self.lists for words in lists]).dictionary_encode()
+        plain = _hashes(words.dictionary).astype(np.uint32)
+        size = np.diff(_data(words.dictionary)[1])
+        spaced = _joined(np.full(len(plain), zlib.crc32(b" "), np.uint32), plain, size)
+        of, out = words.indices.to_numpy(), []
+        for lists, seconds_of, (_, _, _, thirds_of, *_) in zip(self.lists, self.seconds_of, self.rows):
+            singles, firsts, seconds, thirds = np.split(of[: sum(map(len, lists))], np.cumsum([len(x) for x in lists[:3]]))
+            of = of[sum(map(len, lists)) :]
+            pairs = _joined(np.repeat(plain[firsts], seconds_of), spaced[seconds], size[seconds] + 1)
+            out += [plain[singles], pairs, _joined(np.repeat(pairs, thirds_of), spaced[thirds], size[thirds] + 1)]
+        return np.concatenate(out).astype(np.int64) % self.buckets
+
     def dictionary(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(the distinct features, the bucket of each, the feature of each entry)."""
-        entries = pa.concat_arrays(self.strings).dictionary_encode()
-        return entries.dictionary, _hashes(entries.dictionary) % self.buckets, entries.indices.to_numpy()
+        strings = [_strings(lists, seconds_of, row[3]) for lists, seconds_of, row in zip(self.lists, self.seconds_of, self.rows)]
+        entries = pa.concat_arrays(strings).dictionary_encode()
+        feature = entries.indices.to_numpy()
+        bucket = np.empty(len(entries.dictionary), np.int64)
+        bucket[feature] = self.entry_buckets()
+        return entries.dictionary, bucket, feature
 
 
 def _by_slice(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[_Slice | None, list[dict], np.ndarray | None]]:
@@ -324,8 +384,7 @@ def _weighed(sliced: DataFrame, buckets: int) -> DataFrame:
         for some, lists, gain in _by_slice(batches, buckets):
             out = [(row["block"], None, None, row["ids"], row["words"]) for row in lists]
             if some.rows:
-                _, bucket, feature = some.dictionary()
-                for block, texts, each in some.worth(gain[bucket][feature]):
+                for block, texts, each in some.worth(gain[some.entry_buckets()]):
                     before = held.get(block, np.zeros(0, np.int64))
                     sums = np.bincount(texts, weights=each, minlength=len(before)).astype(np.int64)  # exact below 2^53
                     sums[: len(before)] += before

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -107,3 +108,19 @@ def test_pairs_are_counted_by_their_triples_and_the_ends_of_texts():
     every = [b" ".join(g) for some in grams for g in some]
     assert entries == {g: every.count(g) for g in every}
     assert weighed == [sum(1000 ** len(g) for g in some) for some in grams]
+
+
+def test_runs_take_their_hash_from_their_words(monkeypatch):
+    """Only distinct words are gone through byte by byte, whatever their length, and every run has its string's CRC."""
+    rnd = random.Random(23)
+    vocabulary = ["a", "b7", "été", "x" * 63, "y" * 64, "z" * 131, "w" * 9000]
+    texts = [" ".join(rnd.choice(vocabulary) for _ in range(60)).encode() for _ in range(20)]
+    some = resampling._Slice(10_000)
+    for block in range(2):
+        for row in resampling.packed_block(texts[block * 10 :][:10], 1)[0]:
+            some.add(row | {"block": block})
+    hashed, plain = [], resampling._hashes
+    monkeypatch.setattr(resampling, "_hashes", lambda strings: hashed.append(len(strings)) or plain(strings))
+    strings, bucket, feature = some.dictionary()
+    assert bucket.tolist() == [zlib.crc32(s.as_py()) % 10_000 for s in strings]
+    assert (bucket[feature] == some.entry_buckets()).all() and max(hashed) == len(vocabulary) < len(strings)

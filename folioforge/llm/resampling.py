@@ -291,28 +291,47 @@ class _Slice:
             posted = np.concatenate([each[:singles], each[singles + len(thirds_of) :] + np.repeat(pairs, thirds_of)])
             yield block, np.concatenate([texts, enders]), np.concatenate([np.repeat(posted, holders) * counts, pairs[ended]])
 
-    def entry_buckets(self) -> np.ndarray:
-        """The bucket of each entry. Only distinct words are gone through byte by byte; runs are put together from them."""
+    def _numbered(self) -> tuple[pa.Array, list[tuple[np.ndarray, ...]]]:
+        """The distinct words, and of each block the numbers of its single, first, second and third words."""
         words = pa.concat_arrays([words for lists in self.lists for words in lists]).dictionary_encode()
-        plain = _hashes(words.dictionary).astype(np.uint32)
-        size = np.diff(_data(words.dictionary)[1])
+        parts = np.split(words.indices.to_numpy(), np.cumsum([len(words) for lists in self.lists for words in lists])[:-1])
+        return words.dictionary, list(zip(*[iter(parts)] * 4))
+
+    def entry_buckets(self, numbered: tuple | None = None) -> np.ndarray:
+        """The bucket of each entry. Only distinct words are gone through byte by byte; runs are put together from them."""
+        words, blocks = numbered or self._numbered()
+        plain = _hashes(words).astype(np.uint32)
+        size = np.diff(_data(words)[1])
         spaced = _joined(np.full(len(plain), zlib.crc32(b" "), np.uint32), plain, size)
-        of, out = words.indices.to_numpy(), []
-        for lists, seconds_of, (_, _, _, thirds_of, *_) in zip(self.lists, self.seconds_of, self.rows):
-            singles, firsts, seconds, thirds = np.split(of[: sum(map(len, lists))], np.cumsum([len(x) for x in lists[:3]]))
-            of = of[sum(map(len, lists)) :]
+        out = []
+        for (singles, firsts, seconds, thirds), seconds_of, row in zip(blocks, self.seconds_of, self.rows):
             pairs = _joined(np.repeat(plain[firsts], seconds_of), spaced[seconds], size[seconds] + 1)
-            out += [plain[singles], pairs, _joined(np.repeat(pairs, thirds_of), spaced[thirds], size[thirds] + 1)]
+            out += [plain[singles], pairs, _joined(np.repeat(pairs, row[3]), spaced[thirds], size[thirds] + 1)]
         return np.concatenate(out).astype(np.int64) % self.buckets
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(an entry of each distinct feature, the bucket of each, the feature of each entry), by the numbers of their words."""
+        words, blocks = numbered = self._numbered()
+        v = np.int64(max(1, len(words)))
+        singles = np.concatenate([block[0] for block in blocks])
+        pairs = np.concatenate([np.repeat(firsts, n).astype(np.int64) * v + seconds for (_, firsts, seconds, _), n in zip(blocks, self.seconds_of)])
+        pairs = np.unique(pairs, return_inverse=True)[1]
+        thirds_of, thirds = (np.concatenate(x) for x in ([row[3] for row in self.rows], [block[3] for block in blocks]))
+        kind = np.repeat(np.tile(np.arange(3), len(blocks)), [len(x) for block in blocks for x in (block[0], block[2], block[3])])
+        feature, so_far = np.empty(len(kind), np.int64), 0
+        for k, keys in enumerate((singles, pairs, np.repeat(pairs, thirds_of) * v + thirds)):
+            found = np.unique(keys, return_inverse=True)[1] if k != 1 else pairs
+            feature[kind == k] = found + so_far
+            so_far += int(found.max(initial=-1)) + 1
+        bucket, entry = np.empty(so_far, np.int64), np.empty(so_far, np.int64)
+        bucket[feature], entry[feature] = self.entry_buckets(numbered), np.arange(len(feature))
+        return entry, bucket, feature
+
     def dictionary(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """(the distinct features, the bucket of each, the feature of each entry)."""
+        entry, bucket, feature = self.distinct()
         strings = [_strings(lists, seconds_of, row[3]) for lists, seconds_of, row in zip(self.lists, self.seconds_of, self.rows)]
-        entries = pa.concat_arrays(strings).dictionary_encode()
-        feature = entries.indices.to_numpy()
-        bucket = np.empty(len(entries.dictionary), np.int64)
-        bucket[feature] = self.entry_buckets()
-        return entries.dictionary, bucket, feature
+        return pa.concat_arrays(strings).take(pa.array(entry)), bucket, feature
 
 
 def _by_slice(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[_Slice | None, list[dict], np.ndarray | None]]:
@@ -356,7 +375,7 @@ def _bucket_sums(sliced: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some, _, _ in _by_slice(batches, buckets):
             if some.rows:
-                _, bucket, feature = some.dictionary()
+                _, bucket, feature = some.distinct()
                 sums = np.bincount(bucket[feature], weights=some.counts(), minlength=buckets).astype(np.int64)
                 there = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(sums[there])], ["bucket", "n"])

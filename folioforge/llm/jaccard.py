@@ -33,10 +33,12 @@ from folioforge.llm.similar import shingles
 SHINGLE, PERCENT = 5, 80
 #: Sets up to this size give every segment two units.
 SMALL = 64
-#: Most rounds of comparisons with leaders.
-ROUNDS = 5
-#: Counters of a sketch, and the sets of a subset that a task compares with each other at once.
+#: Most rounds of comparisons with leaders; one that adds less than this share of the links is the last.
+ROUNDS, FEW = 5, 0.02
+#: Least counters of a sketch, and the sets of a subset that a task compares with each other at once.
 SKETCH, BLOCK = 256, 1000
+#: Pairs that a task has given out; beyond this many it forgets them.
+GIVEN = 500_000
 FULL, DELETED, PROBES = 0, 1, 2
 
 
@@ -169,13 +171,31 @@ def _flat(parts: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[i] for p in parts]).astype(kind)) for i, kind in enumerate(kinds)], names)
 
 
+def sketched(tokens: np.ndarray) -> np.ndarray:
+    """How many of a set's tokens fall to each counter: half as many counters as tokens or more, a power of two."""
+    n, mixed = SKETCH, _mix(tokens, 5)
+    while 2 * n < len(tokens):
+        n *= 2
+    while True:
+        counts = np.bincount((mixed % np.uint64(n)).astype(np.int64), minlength=n)
+        if counts.max() <= 255:
+            return counts.astype(np.uint8)
+        n *= 2
+
+
+def _folded(sketches: list) -> list[np.ndarray]:
+    """Sketches, given as bytes, with as many counters as the least of them has."""
+    least = min(map(len, sketches))
+    return [np.frombuffer(b, np.uint8).reshape(-1, least).sum(axis=0, dtype=np.int32) for b in sketches]
+
+
 def _sets(text: Column, shingle: int) -> Column:
     """struct<tokens: binary, sketch: binary>: a set, and how many of its tokens fall to each counter."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             sets = [token_set(t.as_py() or b"", shingle) for t in texts.cast(pa.binary())]
-            sketches = [np.bincount((_mix(s, 5) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).clip(max=65535).astype(np.uint16).tobytes() for s in sets]
+            sketches = [sketched(s).tobytes() for s in sets]
             yield pa.StructArray.from_arrays([pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())], ["tokens", "sketch"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -201,7 +221,7 @@ def _near(percent: int):
     """A sketch can only lessen the difference of two sets, so what it sets apart is no link."""
 
     def judge(a: pa.Buffer, b: pa.Buffer) -> bool:
-        x, y = np.frombuffer(a, np.uint16).astype(np.int32), np.frombuffer(b, np.uint16).astype(np.int32)
+        x, y = _folded([a.to_pybytes(), b.to_pybytes()])
         return bool(np.abs(x - y).sum() <= most_apart(int(x.sum()), int(y.sum()), percent))
 
     return judge
@@ -224,9 +244,11 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _with_components(shared: DataFrame, edges: DataFrame) -> DataFrame:
+def _with_components(shared: DataFrame, found: DataFrame | None) -> DataFrame:
     """Rows of subsets that sets of several components share, with the component of each."""
-    found = components(edges).withColumnRenamed("node", "_of")
+    if found is None:
+        return shared.withColumn("root", F.col("node"))
+    found = found.withColumnRenamed("node", "_of")
     rows = shared.join(found, F.col("node") == F.col("_of"), "left").withColumn("root", F.coalesce("root", "node")).drop("_of")
     w = Window.partitionBy("key")
     return rows.withColumns({"_least": F.min("root").over(w), "_most": F.max("root").over(w)}).where("_least <> _most").drop("_least", "_most")
@@ -235,21 +257,27 @@ def _with_components(shared: DataFrame, edges: DataFrame) -> DataFrame:
 def _met(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """(u, v): sets of different components that share a subset, one of which seeks the other, and whose sketches are near.
 
-    A subset that very many sets share is gone through by pairs of its blocks; only what passes leaves the task.
+    A subset that very many sets share is gone through by pairs of its blocks; only what passes leaves the task, and a pair
+    that several of its subsets give, once.
     """
+    given: set[tuple[int, int]] = set()  # each task has its own
 
     def run(group: pa.Table) -> pa.Table:
         node, size, root, deleted = (group.column(c).to_numpy() for c in ("node", "size", "root", "deleted"))
         seeks, own = (group.column(c).to_numpy(zero_copy_only=False) for c in ("seeks", "own"))
         cross = len(np.unique(own)) > 1  # two blocks; a block meets itself elsewhere
-        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.int32)
-        out: list = []
+        sketch = np.array(_folded(group.column("sketch").to_pylist()), np.int16)
+        out: set[tuple[int, int]] = set()
         for i in np.flatnonzero(seeks):
             fits = (root != root[i]) & (size <= size[i]) & (100 * size >= percent * size[i]) & ((size < size[i]) | (node != node[i])) & (deleted + deleted[i] < 2)
             other = np.flatnonzero(fits & (own != own[i]) if cross else fits)
             near = np.abs(sketch[other] - sketch[i]).sum(axis=1) <= (size[other] + size[i]) * (100 - percent) // (100 + percent)
-            out += [(node[i], v) for v in node[other[near]]]
-        pairs = np.array(out, np.int64).reshape(-1, 2)
+            out.update((max(x, v), min(x, v)) for x in [int(node[i])] for v in node[other[near]].tolist())
+        out -= given
+        if len(given) > GIVEN:
+            given.clear()
+        given.update(out)
+        pairs = np.array(list(out), np.int64).reshape(-1, 2)
         return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
     blocks = F.ceil(F.count("*").over(Window.partitionBy("key")) / block).cast("int")
@@ -283,20 +311,29 @@ def links(texts: DataFrame, needed_texts, shingle: int = SHINGLE, percent: int =
     alive = materialize(kept.drop("n", "cost", "spare").join(seeks, ["key", "node"], "left").withColumn("seeks", F.coalesce("seeks", F.lit(False)) & (F.col("role") >= PROBES)), "alive")
     nodes = alive.select("node").distinct()
     sets = materialize(needed_texts(nodes).select("node", _sets(F.col("text"), shingle).alias("s")).select("node", "s.*"), "sets")
-    edges = materialize(shared.sparkSession.createDataFrame([], "u long, v long"), "none")
+    found, linked_so_far = None, 0
     for turn in range(ROUNDS):
-        rows = _with_components(alive, edges)
+        rows = _with_components(alive, found)
         leader = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node", F.lit(turn)), "root", "node", "size")).alias("leader")).select("key", F.col("leader.root").alias("led"), F.col("leader.node").alias("leader"), F.col("leader.size").alias("of_size"))
         met = rows.join(leader, "key").where((F.col("root") != F.col("led")) & _fits("size", "of_size", percent))
         best = met.groupBy("node", "leader").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best"))
         new = _verified(best.select(F.col("node").alias("u"), F.col("best.leader").alias("v")), sets, percent)
-        if new.isEmpty():
+        if not (n := new.count()):
+            break
+        # Components so far are stars, to which new links are added.
+        found = components(new if found is None else _stars(found).unionByName(new))
+        linked_so_far += n
+        if n < FEW * linked_so_far:
             break
-        edges = edges.unionByName(new)
-    rows = materialize(_once(_with_components(alive, edges)), "apart")
+    rows = materialize(_once(_with_components(alive, found)), "apart")
     pairs = _met(rows.join(sets.select("node", "sketch"), "node"), percent)
     pairs = materialize(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "pairs")
-    return edges.unionByName(_verified(pairs, sets, percent))
+    last = _verified(pairs, sets, percent)
+    return last if found is None else _stars(found).unionByName(last)
+
+
+def _stars(found: DataFrame) -> DataFrame:
+    return found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
 
 
 def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -120,3 +120,13 @@ def test_subsets_of_the_same_sets_are_compared_once(spark):
     rows += [(60, 1, 9, 2, 1, True), (60, 2, 9, 0, 2, False), (61, 1, 9, 2, 1, False), (61, 2, 9, 2, 2, True)]
     table = spark.createDataFrame(rows, "key long, node long, size int, role byte, root long, seeks boolean")
     assert {r["key"] for r in J._once(table).collect()} == {0, 60, 61}
+
+
+def test_sketches_of_large_sets_tell_them_apart():
+    """Sets that share two thirds of their tokens aren't near, whatever their sizes; those at the threshold are."""
+    near = J._near(80)
+    for n in (300, 2600, 12_000):
+        tokens = J._mix(np.arange(2 * n, dtype=np.uint64), 3)
+        a, apart, alike = tokens[:n], tokens[n // 3 : n + n // 3], tokens[n // 9 : n + n // 9 - 1]
+        a, apart, alike = (J.pa.py_buffer(J.sketched(x).tobytes()) for x in (a, apart, alike))
+        assert near(a, alike) and near(alike, a) and not near(a, apart)

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.common import materialize, table
 from folioforge.llm.components import components
-from folioforge.llm.similar import shingles
 
 SHINGLE, PERCENT = 5, 80
 #: Sets up to this size give every segment two units.
@@ -109,8 +108,27 @@ def signatures(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray,
     return np.concatenate(keys), np.concatenate(roles), spare
 
 
+def _odd(i: int) -> np.uint64:
+    """The odd factor of a shingle's i-th word."""
+    return np.uint64(xxhash.xxh64_intdigest(b"%d" % i, 3) | 1)
+
+
 def token_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
-    return shingles(text, shingle) if text.split(None, 1) else np.empty(0, np.uint64)
+    """Sorted hashes of a text's distinct shingles, each put together from its words' hashes.
+
+    Fewer words are hashed as one sequence, no words give no tokens.
+    """
+    words = text.lower().split()
+    if len(words) < shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words))][: len(words)], np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    n = len(words) - shingle + 1
+    sums = np.zeros(n, np.uint64)
+    for i in range(shingle):
+        sums += h[i : i + n] * _odd(i)
+    sums = _mix(sums, 11)
+    sums.sort()
+    return sums[np.concatenate([[True], sums[1:] != sums[:-1]])]
 
 
 def _digest(tokens: np.ndarray, seed: int) -> int:

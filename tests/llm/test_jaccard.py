@@ -130,3 +130,19 @@ def test_sketches_of_large_sets_tell_them_apart():
         a, apart, alike = tokens[:n], tokens[n // 3 : n + n // 3], tokens[n // 9 : n + n // 9 - 1]
         a, apart, alike = (J.pa.py_buffer(J.sketched(x).tobytes()) for x in (a, apart, alike))
         assert near(a, alike) and near(alike, a) and not near(a, apart)
+
+
+def test_a_set_hashes_every_word_once(monkeypatch):
+    """Shingles take their hash from their words', and are the same ones wherever they stand; order and number of words count."""
+    rnd, read = random.Random(41), []
+    plain = J.xxhash.xxh64_intdigest
+    monkeypatch.setattr(J.xxhash, "xxh64_intdigest", lambda x, seed=0: (read.append(0 if seed else len(x)), plain(x, seed))[1])
+    text = " ".join(rnd.choice("abcd") * rnd.randrange(1, 3) for _ in range(3000)).encode()
+    words = text.split()
+    grams = [b" ".join(words[i : i + 5]) for i in range(len(words) - 4)]
+    tokens = J.token_set(text)
+    assert sum(read) <= len(text) and len(tokens) == len(set(grams)) > 2000 and (np.diff(tokens.astype(object)) > 0).all()
+    of = {g: int(J.token_set(g)[0]) for g in set(grams)}
+    assert len(set(of.values())) == len(of) and set(of.values()) == set(tokens.tolist())
+    assert J.token_set(b"\tA b\x0bC\n").tolist() == J.token_set(b"a B c").tolist() != J.token_set(b"a c b").tolist()
+    assert [len(J.token_set(x)) for x in (b"", b" \n", b"a", b"a a a a a a a", b"a b a b a b a b")] == [0, 0, 1, 1, 2]

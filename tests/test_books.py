@@ -223,3 +223,9 @@ def test_numbers_at_the_end_of_long_lines_are_text(spark, tmp_path):
     texts = ["\n".join([f"{'word ' * 9}end"] * 4 + [f"{'word ' * 12}version 3.", f"1987 {'word ' * 9}end"] + [f"2 {'word ' * 12}"] * 6)]
     got, want = as_its_sql(spark, tmp_path, "margin_numbers", texts)
     assert got == want == [(0, 0, "0"), (0, 3, "3"), (0, 6, "6"), (0, 9, "9")]
+
+
+def test_glyphs_of_more_lines_than_a_small_number_holds(spark, tmp_path):
+    """A page of 2400 lines, and one without text: the place of a glyph in the stream was an int, and too large from line 1074 on."""
+    got, want = as_its_sql(spark, tmp_path, "glyph_words", ["\n".join(["eine Zeile  mit ätzenden", " zwei Wörter\t"] * 1200), None, " \n"])
+    assert got == want and len(got) == 2400

@@ -132,3 +132,10 @@ def _first_spellings(found: Column) -> Column:
     """Of neighbours that are equal but for their case the first stays; what stays goes back to its place."""
     firsts = F.filter(found, lambda m, i: (i == 0) | (F.get(found, i - 1)["lower"] != m["lower"]))
     return F.transform(F.array_sort(F.transform(firsts, lambda m: F.struct(m["i"].alias("i"), m["found"].alias("found")))), lambda m: m["found"])
+
+
+def median_of(values: Column) -> Column:
+    """The median of an array's numbers, nulls left out; null without any."""
+    some = F.array_sort(F.array_compact(values))
+    n = F.size(some)
+    return F.when(n > 0, (F.get(some, F.floor((n - 1) / 2).cast("int")) + F.get(some, F.floor(n / 2).cast("int"))) / 2)

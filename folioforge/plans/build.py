@@ -128,32 +128,33 @@ def load_profile(path: str) -> Profile:
     return Profile.of(load(raw))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows from a table in the shared folder: a border between stages."""
-    path = files.scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """The rows from a table in the shared folder (at `path`, where one is given): a border between stages."""
+    path = path or files.scratch(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def page_model(chars: DataFrame, pages: DataFrame, profile: Profile) -> tuple[DataFrame, DataFrame]:
-    """(lines, tokens) of glyphs (book_id, page_seq, seq, text, x0, x1, top, bottom, size) and pages (book_id, page_seq,
-    width, height).
+def page_model(chars: DataFrame, pages: DataFrame, profile: Profile, place: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(lines, tokens) of pages of glyphs, as `glyphs.pages_of_glyphs` gives them, and pages (book_id, page_seq, width, height).
 
     lines: book_id, page_seq, line_no, text, x0, x1, top, bottom, size, width, height, printed_page, is_note. Folios, bands
     and junk are out; margin numbers are tokens (book_id, page_seq, word, text, top). Missing folios are filled from their
-    neighbours; a book without any has none. A page that `pages` lacks has no lines.
+    neighbours; a book without any has none. A page that `pages` lacks has no lines. place: where the lines are written first.
     """
-    words = glyphs.words_of_glyphs(chars).withColumnRenamed("row", "line_no")
+    words = F.col("words")
     if any(f.mode == "margin" for f in profile.units):
-        words = stored(margins.margin_numbers(words, PAGE, profile.margin_side, profile.margin_pad, profile.margin_range), "words")
-        tokens = words.where("is_margin").select(*PAGE, "word", F.regexp_replace(F.trim("text"), r"^[.)]+|[.)]+$", "").alias("text"), "top")
-        words = words.where("not is_margin")
+        each = glyphs.lines_of_pages(chars).select(*PAGE, F.col("row").alias("line_no"), F.inline("words"))
+        each = stored(margins.margin_numbers(each, PAGE, profile.margin_side, profile.margin_pad, profile.margin_range), "words")
+        tokens = each.where("is_margin").select(*PAGE, "word", F.regexp_replace(F.trim("text"), r"^[.)]+|[.)]+$", "").alias("text"), "top")
+        word = F.struct("x0", "word", "text", "x1", "top", "bottom", "size")
+        set_ = each.where("not is_margin").groupBy(*PAGE, "line_no").agg(F.array_sort(F.collect_list(word)).alias("words"))
     else:
-        tokens = words.where("false").select(*PAGE, "word", "text", "top")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "word", "text"))), lambda w: w["text"]), " ")
-    boxes = [F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("top").alias("top"), F.max("bottom").alias("bottom"), F.median("size").alias("size")]
+        tokens = chars.where("false").select(*PAGE, F.lit(0).alias("word"), F.lit("").alias("text"), F.lit(0.0).alias("top"))
+        set_ = glyphs.lines_of_pages(chars).withColumnRenamed("row", "line_no")
     size = pages.select(*PAGE, "width", "height")
-    lines = stored(words.groupBy(*PAGE, "line_no").agg(text.alias("text"), *boxes).join(size, PAGE), "lines")
+    boxes = [F.array_min(words["x0"]).alias("x0"), F.array_max(words["x1"]).alias("x1"), F.array_min(words["top"]).alias("top"), F.array_max(words["bottom"]).alias("bottom"), T.median_of(words["size"]).alias("size")]
+    lines = stored(set_.select(*PAGE, "line_no", F.array_join(words["text"], " ").alias("text"), *boxes).join(size, PAGE), "lines", place)
     found = layout.folios(lines, PAGE, profile.folio_band)
     known = S.filled_between(size.join(found, PAGE, "left").select(*PAGE, "printed_page"), BOOK, "page_seq", "printed_page").select(*PAGE, "printed_page")
     body = lines.join(found.select(*PAGE, F.col("folio_line").alias("line_no")), [*PAGE, "line_no"], "left_anti").join(known, PAGE)
@@ -286,7 +287,7 @@ def attached(units: DataFrame, lines: DataFrame) -> DataFrame:
     """`units` with `footnotes` (page, number, text): of the units on a note's page the first whose text has its number by
     itself, else the one with most of the page. A unit's text is asked once for all notes of its pages."""
     notes = folds.folded(lines.where("is_note").select(*PAGE, "line_no", "text"), PAGE, ["line_no"], folds.page_notes, "number int, unparsed boolean")
-    notes = notes.withColumn("note", S.occurrence(PAGE, ["line_no"]))
+    notes = stored(notes.withColumn("note", S.occurrence(PAGE, ["line_no"])), "notes")
     on = units.select(*BOOK, "unit", F.size("_on").alias("_pages"), F.explode("_on").alias("_o")).select(*BOOK, "unit", "_o.page_seq", "_o.chars")
     alone = F.count("*").over(Window.partitionBy(*PAGE, "note")) == 1
     pairs = notes.select(*PAGE, "note", "number").join(on, PAGE).withColumn("_alone", alone)
@@ -395,14 +396,19 @@ class Built:
 def build(chars: DataFrame, pages: DataFrame, meta: DataFrame, profile: Profile, toc: DataFrame | None = None) -> Built:
     """Cards of all books of a profile. Books without body lines or units have none, and the report tells.
 
-    Blank glyph tables give empty cards; null texts of glyphs count as no glyph.
+    chars are glyphs, a row each, or pages of them. Blank glyph tables give empty cards; null texts of glyphs count as no glyph.
     """
-    lines, tokens = page_model(chars.where("text is not null"), pages, profile)
+    paged = chars.schema["text"].dataType.typeName() == "array"
+    spark, first = chars.sparkSession, files.scratch(chars.sparkSession, "lines")
+    lines, tokens = page_model(chars if paged else glyphs.pages_of_glyphs(chars.where("text is not null")), pages, profile, first)
     lines = stored(lines, "body")
+    files.drop(spark, first)
     index = stored(indexed(lines, profile), "index")
     units = stored(numbered(found_units(index, tokens, profile)), "units")
-    cards = attached(stored(assembled(index, units), "assembled"), lines)
-    return Built(stored(addressed(with_hierarchy(cards, index, toc), meta, profile), "cards"), index, units)
+    place = files.scratch(spark, "assembled")
+    cards = stored(addressed(with_hierarchy(attached(stored(assembled(index, units), "assembled", place), lines), index, toc), meta, profile), "cards")
+    files.drop(spark, place)
+    return Built(cards, index, units)
 
 
 def report(built: Built, books: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.operators import contents, probe
 from folioforge.plans import build as B
+from folioforge.sources import setting
 from folioforge.sources.tables import read
 
 PROFILE = B.Profile.of({
@@ -37,11 +38,13 @@ def printed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def glyphs_of(book: DataFrame) -> DataFrame:
-    """The books' glyphs, and a folio at the foot of every page."""
-    folio = book.select("book_id", "page_seq").distinct().select("book_id", F.lit(None).cast("int").alias("n"), "page_seq", (F.col("page_seq") + 1).cast("string").alias("line"))
-    every = book.unionByName(folio).select("book_id", "page_seq", "n", F.posexplode(F.split("line", "")).alias("k", "text")).where("text not in ('', ' ')")
-    top = F.coalesce(60.0 + (F.col("n") % 10) * 56.0, F.lit(680.0))
-    return every.select("book_id", "page_seq", F.monotonically_increasing_id().alias("seq"), "text", (F.col("k") * 5.0).alias("x0"), (F.col("k") * 5.0 + 5.0).alias("x1"), top.alias("top"), (top + 10.0).alias("bottom"), F.when(F.col("n") % 10 >= 8, 7.0).otherwise(10.0).alias("size"))
+    """The books' pages of glyphs, with a folio at the foot of each. Spaces are gaps."""
+    line = lambda text, top, size: F.struct(text.alias("text"), top.alias("top"), size.alias("size"), F.lit(False).alias("spaced"))
+    lines = F.array_sort(F.collect_list(F.struct(F.col("n"), "line")))
+    body = F.transform("_l", lambda x: line(x["line"], 60.0 + (x["n"] % 10) * 56.0, F.when(x["n"] % 10 >= 8, 7.0).otherwise(10.0)))
+    folio = F.array(line((F.col("page_seq") + 1).cast("string"), F.lit(680.0), F.lit(10.0)))
+    pages = book.groupBy("book_id", "page_seq").agg(lines.alias("_l"))
+    return setting.glyphs_of(pages.select("book_id", "page_seq", F.concat(body, folio).alias("lines")))
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

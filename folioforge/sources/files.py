@@ -22,6 +22,15 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{place.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table at a path that `scratch` gave, once what is made from it is a table too."""
+    place = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    if not path.startswith(f"{place}/"):
+        raise ValueError(f"{path} isn't a table in {place}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """JSON lines under a schema; blank lines are skipped, gzip is read by its suffix, a broken line is an error."""
     rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)

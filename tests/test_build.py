@@ -1,9 +1,11 @@
 """Known answers of the composed build, on pages set by hand."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.operators import folds
+from folioforge.operators import folds, glyphs
 from folioforge.plans import build as B
 
 GLYPH = "book_id string, page_seq int, seq int, text string, x0 double, x1 double, top double, bottom double, size double"
@@ -156,3 +158,13 @@ def test_contents_in_two_columns(spark):
     assert of(contents.entries(frame, 300.0, markers)) == want
     assert of(contents.entries(frame, 300.0, markers, indents=[(70.0, 90.0, 3)]))[2][2] == 3
     assert of(contents.entries(frame.limit(0), 300.0, markers)) == []
+
+
+def test_pages_of_glyphs_build_like_glyphs(spark):
+    """Glyphs of a page may be one row; tables between the first and the last stages don't stay in the shared folder."""
+    chars, pages, meta = setting(spark, {"b": [page("#1 one", "more", folio="1", notes=["1. own"])], "c": [page("#1 three")]})
+    want = B.build(chars, pages, meta, profile()).cards.orderBy("external_id").collect()
+    place = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(place))
+    assert B.build(glyphs.pages_of_glyphs(chars), pages, meta, profile()).cards.orderBy("external_id").collect() == want and len(want) == 2
+    assert {f.split("-")[0] for f in set(os.listdir(place)) - before} == {"body", "index", "units", "notes", "cards"}

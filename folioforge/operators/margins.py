@@ -77,16 +77,22 @@ def composite_numbers(words: DataFrame, max_section: int, page: Sequence[str] =
     It is the line's first word left of the body or its last one right of it, with 1 <= a <= max_section; the left one goes
     first. The no-break space tells it from a reference that a line happens to begin with.
     """
-    first, last = _ends(page)
-    edged = words.withColumns({"_first": first, "_last": last}).join(body_edges(words, page, COMPOSITE, 1), list(page), "left")
-    t = F.trim("text")
-    fits = F.regexp_like(t, F.lit(COMPOSITE)) & F.regexp_extract(t, COMPOSITE, 1).try_cast("int").between(1, max_section)
-    left = fits & F.col("_first") & (F.col("x1") <= F.col("left") - pad)
-    right = fits & F.col("_last") & (F.col("x0") >= F.col("right") + pad)
-    place = F.when(left, 0).when(right, 1)
-    sided = edged.withColumn("_place", place).withColumn("_taken", F.min("_place").over(Window.partitionBy(*page, "line_no")))
-    moves = F.col("_place").eqNullSafe(F.col("_taken")) & F.col("_place").isNotNull()
-    plain = F.concat(F.regexp_extract(t, COMPOSITE, 1).try_cast("int").cast("string"), F.lit("/"), F.regexp_extract(t, COMPOSITE, 2).try_cast("int").cast("string"))
-    rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~moves, F.struct("x0", "word", "text")))), lambda w: w["text"]), " ")
-    lines = sided.groupBy(*page, "line_no").agg(F.first(F.when(moves, plain), ignorenulls=True).alias("moved"), rest.alias("_rest"))
-    return lines.select(*page, "line_no", F.when(F.col("moved").isNotNull(), F.concat("moved", F.lit(NBSP), "_rest")).otherwise(F.col("_rest")).alias("text"), "moved")
+    word = F.struct("x0", "word", "text", "x1")
+    lines = words.groupBy(*page, "line_no").agg(F.array_sort(F.collect_list(word)).alias("_w"))
+    w, t = F.col("_w"), lambda x: F.trim(x["text"])
+    other = F.filter(w, lambda x: ~F.regexp_like(t(x), F.lit(COMPOSITE)))
+    size = F.aggregate(w, F.lit(-1), lambda n, x: n + F.coalesce(F.char_length(x["text"]) + 1, F.lit(0)))
+    sided = lines.withColumns({"_l": F.array_min(other["x0"]), "_r": F.array_max(other["x1"]), "_n": size})
+    long = (F.col("_n") > LONG) & F.col("_l").isNotNull()
+    of_page = Window.partitionBy(*page)
+    edged = sided.withColumns({"left": F.median(F.when(long, F.col("_l"))).over(of_page), "right": F.median(F.when(long, F.col("_r"))).over(of_page)})
+    fits = lambda x: F.regexp_like(t(x), F.lit(COMPOSITE)) & F.regexp_extract(t(x), COMPOSITE, 1).try_cast("int").between(1, max_section)
+    first, last = F.element_at(w, 1), F.element_at(w, -1)
+    left = fits(first) & (first["x1"] <= F.col("left") - pad)
+    right = fits(last) & (last["x0"] >= F.col("right") + pad)
+    part = lambda x, n: F.regexp_extract(t(x), COMPOSITE, n).try_cast("int").cast("string")
+    plain = lambda x: F.concat(part(x, 1), F.lit("/"), part(x, 2))
+    moved = F.when(left, plain(first)).when(right, plain(last))
+    rest = F.when(left, F.slice(w, F.lit(2), F.size(w) - 1)).when(right, F.slice(w, F.lit(1), F.size(w) - 1)).otherwise(w)
+    told = edged.select(*page, "line_no", moved.alias("moved"), F.array_join(rest["text"], " ").alias("_rest"))
+    return told.select(*page, "line_no", F.when(F.col("moved").isNotNull(), F.concat("moved", F.lit(NBSP), "_rest")).otherwise(F.col("_rest")).alias("text"), "moved")

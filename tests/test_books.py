@@ -229,3 +229,12 @@ def test_glyphs_of_more_lines_than_a_small_number_holds(spark, tmp_path):
     """A page of 2400 lines, and one without text: the place of a glyph in the stream was an int, and too large from line 1074 on."""
     got, want = as_its_sql(spark, tmp_path, "glyph_words", ["\n".join(["eine Zeile  mit ätzenden", " zwei Wörter\t"] * 1200), None, " \n"])
     assert got == want and len(got) == 2400
+
+
+def moves(query):
+    """How often a query's plan moves rows between tasks."""
+    return query._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_words_with_their_lines_move_once(spark):
+    assert moves(books.QUERIES["margin_composites"](spark, "/root/testdata/sf0.001")) == 1

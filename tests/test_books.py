@@ -238,3 +238,12 @@ def moves(query):
 
 def test_words_with_their_lines_move_once(spark):
     assert moves(books.QUERIES["margin_composites"](spark, "/root/testdata/sf0.001")) == 1
+
+
+def test_notes_lines_move_once(spark, tmp_path):
+    """Texts move by their book alone; numbers go on over a hundred documents, and blank lines and no text count for nothing."""
+    texts = {1: "a\n\nb\nc", 2: None, 3: "d\ne\nf\ng", 100: "h"}
+    spark.createDataFrame([(k, v, "s") for k, v in texts.items()], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = books.note_lines(spark, str(tmp_path))
+    assert moves(got) == moves(books.QUERIES["notes_rebuilt"](spark, str(tmp_path))) == 1
+    assert sorted(map(tuple, got.collect())) == [("s", 1, 0, "1. a"), ("s", 1, 2, "b"), ("s", 1, 3, "3. c"), ("s", 3, 0, "4. d"), ("s", 3, 1, "e"), ("s", 3, 2, "f"), ("s", 3, 3, "7. g"), ("s", 100, 0, "1. h")]

@@ -1,20 +1,25 @@
 """Page layout: words with coordinates -> lines, columns, margins, folios and note blocks.
 
 Coordinates are points from the top left corner. What depends on a page's rows as a whole (clustering, reading order)
-is one pass per page under applyInPandas, a page being a few thousand words; everything else is expressions and windows.
+is one pass per page in Python, a page being a few thousand words; everything else is expressions and windows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PAGE = ("book_id", "page_seq")
 #: Shares of heights within which words share a line, and of sizes that may.
 CENTRE, RATIO, INSIDE, REACH, LOOK_BACK = 0.45, 1.6, 0.35, 3.0, 3
+#: Fixed value: pages whose lines a task gives out together.
+AT_ONCE = 100
 
 
 class _Row:
@@ -65,15 +70,35 @@ def lines_of_words(words: list[dict]) -> list[dict]:
     return out
 
 
-def cluster_lines(words: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
-    """(page, line_no, text, x0, x1, top, bottom, size) from words (page, text, x0, x1, top, bottom, size)."""
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in words.select(*page).schema] + ["line_no int", "text string", "x0 double", "x1 double", "top double", "bottom double", "size double"])
+def pages_of_words(words: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
+    """(page, words): a row for each page of `words` (page, text, x0, x1, top, bottom, size)."""
+    fields = ["text", *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in ("x0", "x1", "top", "bottom", "size")]]
+    return words.groupBy(*page).agg(F.collect_list(F.struct(*fields)).alias("words"))
+
+
+def lines_on_pages(pages: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
+    """(page, line_no, text, x0, x1, top, bottom, size) from pages of words. Pages stay where they are, in batches."""
+    schema = pages.select(*page).schema
+    for f in T._parse_datatype_string("line_no int, text string, x0 double, x1 double, top double, bottom double, size double").fields:
+        schema = schema.add(f)
+    into = to_arrow_schema(schema)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        key = {c: group[c].iloc[0] for c in page}
-        return pd.DataFrame([{**key, "line_no": i, **line} for i, line in enumerate(lines_of_words(group.to_dict("records")))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), AT_ONCE):
+                some = batch.slice(low, AT_ONCE)
+                found = [(at, i, line) for at in range(len(some)) for i, line in enumerate(lines_of_words(some["words"].slice(at, 1).flatten().to_pylist()))]
+                keys = [some[c].take(pa.array([at for at, _, _ in found], pa.int32())) for c in page]
+                numbers = pa.array([i for _, i, _ in found], pa.int32())
+                columns = [pa.array([line[f.name] for _, _, line in found], f.type) for f in list(into)[len(page) + 1 :]]
+                yield pa.RecordBatch.from_arrays([*keys, numbers, *columns], schema=into)
 
-    return words.groupBy(*page).applyInPandas(run, schema)
+    return pages.mapInArrow(run, schema)
+
+
+def cluster_lines(words: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
+    """(page, line_no, text, x0, x1, top, bottom, size) from words (page, text, x0, x1, top, bottom, size)."""
+    return lines_on_pages(pages_of_words(words, page), page)
 
 
 def _single(rows: pd.DataFrame, dx: float, dy: float) -> pd.DataFrame:

@@ -247,3 +247,9 @@ def test_notes_lines_move_once(spark, tmp_path):
     got = books.note_lines(spark, str(tmp_path))
     assert moves(got) == moves(books.QUERIES["notes_rebuilt"](spark, str(tmp_path))) == 1
     assert sorted(map(tuple, got.collect())) == [("s", 1, 0, "1. a"), ("s", 1, 2, "b"), ("s", 1, 3, "3. c"), ("s", 3, 0, "4. d"), ("s", 3, 1, "e"), ("s", 3, 2, "f"), ("s", 3, 3, "7. g"), ("s", 100, 0, "1. h")]
+
+
+def test_words_stay_with_their_page(spark, tmp_path):
+    got, want = as_its_sql(spark, tmp_path, "cluster_lines", ["one  two\n\n three\t", None, "", " \n", "ä\x0bb\n" * 30])
+    assert got == want and len(got) == 32
+    assert moves(books.QUERIES["cluster_lines"](spark, str(tmp_path))) == 0
